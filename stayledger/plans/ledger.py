@@ -1,4 +1,4 @@
-"""The mart refreshes on stored tables: only the partitions that change are written.
+"""The mart refreshes on stored tables: only the days that change are written.
 
 The logic is that of ``plans.marts``; here the changed keys are pinned first,
 because the tables they were derived from are about to change.
@@ -57,12 +57,12 @@ def refresh_detail_incremental(ledger: Ledger, as_of: date) -> None:
     canon = _canon(ledger)
     keys = pin(changes.changed_keys(canon, ledger.table(DETAIL)))
     fresh = _within(canon, keys, "REPORT_DATE")
-    ledger.replace_partitions(
+    ledger.replace_keys(
         HISTORY_TABLE,
         changes.shifted_nights(keys, as_of),
         marts.as_history(filters.past_night(fresh, as_of)),
     )
-    ledger.replace_partitions(DETAIL, keys, filters.otb(fresh))
+    ledger.replace_keys(DETAIL, keys, filters.otb(fresh))
 
 
 def refresh_report_full(ledger: Ledger, windows: Windows = LEAD_WINDOWS) -> None:
@@ -77,7 +77,7 @@ def refresh_report_incremental(ledger: Ledger, as_of: date, windows: Windows = L
     keys = pin(changes.changed_keys(detail, ledger.table(REPORT)))
     fresh = pace_report(_within(detail, keys, "REPORT_DATE"), windows)
     # The keys come from detail, so each of them has rows.
-    ledger.replace_partitions(REPORT, keys, fresh, present=keys)
+    ledger.replace_keys(REPORT, keys, fresh, present=keys)
 
     # Last night is replaced in every property that has it on either side.
     night = F.lit(as_of - timedelta(days=1))
@@ -85,7 +85,7 @@ def refresh_report_incremental(ledger: Ledger, as_of: date, windows: Windows = L
     last = actual.unionByName(history.select("PROPERTY", "STAYING")).filter(F.col("STAYING") == night)
     nights = pin(changes.actual_gaps(history, ledger.table(ACTUAL)).union(last).distinct())
     rows = _within(history, nights, "STAYING")
-    ledger.replace_partitions(
+    ledger.replace_keys(
         ACTUAL, _as_actual_keys(nights), pace_actual(rows, windows), present=_as_actual_keys(rows)
     )
 
@@ -95,12 +95,12 @@ def restore(ledger: Ledger, start: date, end: date, windows: Windows = LEAD_WIND
     canon = filters.reported_between(_canon(ledger), start, end)
     nights = marts.as_history(filters.past_night(canon))
     gaps = pin(changes.missing_keys(nights, ledger.table(HISTORY_TABLE), changes.NIGHT_KEY))
-    ledger.replace_partitions(HISTORY_TABLE, gaps, _within(nights, gaps, "STAYING"))
+    ledger.replace_keys(HISTORY_TABLE, gaps, _within(nights, gaps, "STAYING"))
 
     history = filters.night_reported_between(ledger.table(HISTORY_TABLE), start, end)
     missing = pin(changes.actual_gaps(history, ledger.table(ACTUAL)))
     fresh = pace_actual(_within(history, missing, "STAYING"), windows, mode)
-    ledger.replace_partitions(ACTUAL, _as_actual_keys(missing), fresh, present=_as_actual_keys(missing))
+    ledger.replace_keys(ACTUAL, _as_actual_keys(missing), fresh, present=_as_actual_keys(missing))
 
 
 def load_history_full(
@@ -111,23 +111,21 @@ def load_history_full(
     What those properties had after the cutoff is dropped from history; actual
     keeps its nights after the cutoff."""
     rows = pin(conform(rows, HISTORY).filter(F.col("STAYING").isNotNull()))
-    props = rows.select("PROPERTY").distinct()
+    props = pin(rows.select("PROPERTY").distinct())
     kept = rows.filter(F.col("STAYING") <= F.lit(cutoff))
 
-    def nights(table: str, day: str) -> DataFrame:
-        present = ledger.table(table).select("PROPERTY", F.col(day).alias("STAYING")).distinct()
-        return present.join(props, "PROPERTY", "left_semi").unionByName(kept.select("PROPERTY", "STAYING"))
-
-    stale = pin(nights(ACTUAL, "STAYING_DATE").filter(F.col("STAYING") <= F.lit(cutoff)).distinct())
-    ledger.replace_partitions(HISTORY_TABLE, nights(HISTORY_TABLE, "STAYING"), kept)
-    ledger.replace_partitions(ACTUAL, _as_actual_keys(stale), pace_actual(kept, windows, mode))
+    past = ledger.table(ACTUAL).filter(F.col("STAYING_DATE") <= F.lit(cutoff)).select("PROPERTY", "STAYING_DATE")
+    stale = past.distinct().join(props, "PROPERTY", "left_semi")
+    nights = pin(stale.union(_as_actual_keys(kept)).distinct())
+    ledger.replace_keys(HISTORY_TABLE, props, kept, on=("PROPERTY",))
+    ledger.replace_keys(ACTUAL, nights, pace_actual(kept, windows, mode), present=_as_actual_keys(kept))
 
 
 def load_history_incremental(ledger: Ledger, rows: DataFrame) -> None:
     """Add the nights history does not have."""
     rows = conform(rows, HISTORY).filter(F.col("STAYING").isNotNull())
     gaps = pin(changes.missing_keys(rows, ledger.table(HISTORY_TABLE), changes.NIGHT_KEY))
-    ledger.replace_partitions(HISTORY_TABLE, gaps, _within(rows, gaps, "STAYING"))
+    ledger.replace_keys(HISTORY_TABLE, gaps, _within(rows, gaps, "STAYING"))
 
 
 def run_full(ledger: Ledger, as_of: date) -> None:

@@ -28,4 +28,4 @@ def replace_rates(rates: DataFrame, fresh: DataFrame) -> DataFrame:
 
 def refresh_rates(ledger: Ledger, fresh: DataFrame) -> None:
     """Replace the fresh days' currency pairs in the rates table."""
-    ledger.replace_partitions("exchange_rate", fresh.select(*RATE_KEY), fresh)
+    ledger.replace_keys("exchange_rate", fresh, fresh, present=fresh)

@@ -1,8 +1,10 @@
-"""Partitioned catalog tables and the mutations the jobs need.
+"""Catalog tables partitioned by day, and the mutations the jobs need.
 
-A plain parquet table has no DELETE.  Replacing a key means overwriting its
-partition; a key that became empty has its partition dropped.  Untouched
-partitions are neither read nor written.
+A plain parquet table has no DELETE.  Replacing keys means writing the touched
+days anew, kept rows and new ones together, and dropping a day that became
+empty.  Other days are neither read nor written.  The day alone is the partition:
+partitions stay as many as there are days, however many properties there are,
+and rows are sorted by property inside, so a property's rows sit together.
 """
 
 from __future__ import annotations
@@ -10,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import date
 from itertools import batched
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,20 +24,29 @@ from stayledger.session import pin
 
 @dataclass(frozen=True)
 class TableDef:
+    """Columns, the day column it is partitioned by, and the key its rows are replaced by."""
+
     columns: dict[str, str]
-    partitions: tuple[str, ...]
+    day: str
+    key: tuple[str, ...]
+
+
+def _by_property(columns: dict[str, str], day: str) -> TableDef:
+    return TableDef(columns, day, ("PROPERTY", day))
 
 
 TABLES: dict[str, TableDef] = {
-    "stg_smile": TableDef(schemas.STG_SMILE, ("PROPERTY", "REPORT_DATE")),
-    "stg_opera": TableDef(schemas.STG_OPERA, ("PROPERTY", "REPORT_DATE")),
-    "booking_pace_detail": TableDef(schemas.DETAIL, ("PROPERTY", "REPORT_DATE")),
-    "booking_pace_history": TableDef(schemas.HISTORY, ("PROPERTY", "STAYING")),
-    "booking_pace_report": TableDef(schemas.REPORT, ("PROPERTY", "REPORT_DATE")),
-    "booking_pace_actual": TableDef(schemas.ACTUAL, ("PROPERTY", "STAYING_DATE")),
-    "booking_pace_sample_data": TableDef(schemas.SAMPLE, ("PROPERTY", "REPORT_DATE")),
-    "exchange_rate": TableDef(schemas.EXCHANGE_RATE, ("REPORT_DATE", "FROM_CURRENCY_CODE", "TO_CURRENCY_CODE")),
-    "load_manifest": TableDef(schemas.MANIFEST, ("PROPERTY",)),
+    "stg_smile": _by_property(schemas.STG_SMILE, "REPORT_DATE"),
+    "stg_opera": _by_property(schemas.STG_OPERA, "REPORT_DATE"),
+    "booking_pace_detail": _by_property(schemas.DETAIL, "REPORT_DATE"),
+    "booking_pace_history": _by_property(schemas.HISTORY, "STAYING"),
+    "booking_pace_report": _by_property(schemas.REPORT, "REPORT_DATE"),
+    "booking_pace_actual": _by_property(schemas.ACTUAL, "STAYING_DATE"),
+    "booking_pace_sample_data": _by_property(schemas.SAMPLE, "REPORT_DATE"),
+    "exchange_rate": TableDef(
+        schemas.EXCHANGE_RATE, "REPORT_DATE", ("REPORT_DATE", "FROM_CURRENCY_CODE", "TO_CURRENCY_CODE")
+    ),
+    "load_manifest": TableDef(schemas.MANIFEST, "REPORT_DATE", ("PROPERTY", "NAME")),
 }
 
 DROP_BATCH = 200
@@ -71,7 +83,7 @@ class Ledger:
             where = f"LOCATION '{location}/{table}'" if location else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({schemas.ddl(spec.columns)}) "
-                f"USING parquet PARTITIONED BY ({', '.join(spec.partitions)}) {where}"
+                f"USING parquet PARTITIONED BY ({spec.day}) {where}"
             )
 
     def append(self, table: str, rows: DataFrame) -> None:
@@ -82,43 +94,61 @@ class Ledger:
         with _overwrite_mode(self.spark, "static"):
             self._insert(table, rows, overwrite=True)
 
-    def replace_partitions(
-        self, table: str, keys: DataFrame, rows: DataFrame, present: DataFrame | None = None
+    def replace_keys(
+        self,
+        table: str,
+        keys: DataFrame,
+        rows: DataFrame,
+        on: tuple[str, ...] | None = None,
+        present: DataFrame | None = None,
     ) -> None:
-        """Replace the partitions of ``keys`` by ``rows``; keys without rows end up empty.
-
-        ``present`` names the keys that have rows, where the caller knows them
-        without computing the rows.  New partitions are moved in before emptied
-        ones go, so an interrupted run leaves old rows rather than none, and
-        running it again completes it."""
-        on = list(TABLES[table].partitions)
-        filled = (rows if present is None else present).select(*on).distinct()
-        emptied = pin(keys.select(*on).distinct().join(filled, on, "left_anti"))
+        """Replace the rows of ``keys`` by ``rows``; a key without new rows ends up empty.
+
+        ``rows`` must lie within the keys.  ``present`` has the days of ``rows``,
+        where the caller knows them without computing the rows.  New days are
+        moved in before emptied ones go, so an interrupted run leaves old rows
+        rather than none, and running it again completes it."""
+        spec = TABLES[table]
+        on = on or spec.key
+        stored = self.table(table)
+        keys = pin(keys.select(*on).dropna().distinct())
+        new_days = (rows if present is None else present).select(spec.day).distinct()
+        if spec.day in on:
+            touched = keys.select(spec.day)
+        else:
+            touched = stored.join(keys, list(on), "left_semi").select(spec.day).union(new_days)
+        days = _days(touched)
+        if not days:
+            return
+        kept = stored.filter(F.col(spec.day).isin(days)).join(keys, list(on), "left_anti")
+        filled = _days(kept.select(spec.day).union(new_days))
         with _overwrite_mode(self.spark, "dynamic"):
-            self._insert(table, rows, overwrite=True)
-        self.drop_partitions(table, emptied)
-
-    def drop_partitions(self, table: str, keys: DataFrame) -> None:
-        """Drop the partitions of the keys, a batch of them per statement."""
-        on = TABLES[table].partitions
-        texts = keys.select(*(F.col(c).cast("string").alias(c) for c in on)).dropna()
-        for rows in batched(texts.toLocalIterator(), DROP_BATCH):
-            specs = ", ".join(
-                "PARTITION (" + ", ".join(f"`{c}` = '{_escape(row[c])}'" for c in on) + ")" for row in rows
-            )
+            self._insert(table, schemas.conform(kept, spec.columns).unionByName(schemas.conform(rows, spec.columns)), overwrite=True)
+        self._drop_days(table, sorted(set(days) - set(filled)))
+
+    def delete_keys(self, table: str, keys: DataFrame, on: tuple[str, ...] | None = None) -> None:
+        """Remove the rows of the keys."""
+        self.replace_keys(table, keys, self.table(table).limit(0), on)
+
+    def _drop_days(self, table: str, days: list[date]) -> None:
+        for some in batched(days, DROP_BATCH):
+            specs = ", ".join(f"PARTITION (`{TABLES[table].day}` = '{day.isoformat()}')" for day in some)
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {specs}")
 
     def _insert(self, table: str, rows: DataFrame, overwrite: bool) -> None:
         spec = TABLES[table]
-        ordered = [c for c in spec.columns if c not in spec.partitions] + list(spec.partitions)
-        # The rebalance lets AQE split a hot partition over tasks and merge small ones.
+        ordered = [c for c in spec.columns if c != spec.day] + [spec.day]
+        inner = [c for c in spec.key if c != spec.day]
+        # The rebalance lets AQE split a heavy day over tasks and merge light ones.
         (
             schemas.conform(rows, spec.columns)
             .select(*ordered)
-            .hint("rebalance", *spec.partitions)
+            .hint("rebalance", spec.day)
+            .sortWithinPartitions(spec.day, *inner)
             .write.insertInto(self.name(table), overwrite=overwrite)
         )
 
 
-def _escape(text: str) -> str:
-    return text.replace("\\", "\\\\").replace("'", "\\'")
+def _days(df: DataFrame) -> list[date]:
+    """Distinct known days of a one-column frame: at most one value per calendar day."""
+    return [row[0] for row in df.dropna().distinct().collect()]

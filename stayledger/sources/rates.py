@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,9 +49,12 @@ def normalise_usd(rates: DataFrame) -> DataFrame:
 def _text(html: Column) -> Column:
     """Visible text of a cell's markup."""
     plain = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
+    resolved = plain
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
-        plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(plain, r"\s+", " "))
+        resolved = F.replace(resolved, F.lit(entity), F.lit(char))
+    # Few cells hold an entity; the others are spared the replacements.
+    text = F.when(html.contains("&"), resolved).otherwise(plain)
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
 def _cells(row: Column) -> Column:
@@ -63,6 +68,11 @@ def _cells(row: Column) -> Column:
     return F.flatten(F.transform(cells, spread))
 
 
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)`` with the value computed once, however often ``then`` mentions it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def _numbered(names: Column) -> Column:
     """Header names with repeats made unique: the second ``x`` is ``x.1``."""
 
@@ -78,13 +88,14 @@ def explode_html(pages: DataFrame, html: str = "HTML") -> DataFrame:
     keep = [c for c in pages.columns if c != html]
     first_table = F.regexp_extract(F.col(html), r"(?is)<table\b[^>]*>(.*?)</table>", 1)
     rows = F.regexp_extract_all(first_table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-    return (
-        pages.select(*keep, F.transform(rows, _cells).alias("_rows"))
-        .withColumn("HEADER", _numbered(F.get("_rows", F.lit(0))))
-        .select(*keep, "HEADER", F.posexplode("_rows").alias("_row", "CELLS"))
-        .filter(F.col("_row") > 0)
-        .drop("_row")
+    # The header is taken once per page; the rows are exploded as markup and each
+    # one's cells are then taken apart once.
+    exploded = (
+        pages.select(*keep, rows.alias("_rows"))
+        .withColumn("HEADER", _once(_cells(F.get("_rows", F.lit(0))), _numbered))
+        .select(*keep, "HEADER", F.posexplode("_rows").alias("_row", "_html"))
     )
+    return exploded.filter(F.col("_row") > 0).select(*keep, "HEADER", _cells(F.col("_html")).alias("CELLS"))
 
 
 def normalise_lak(rows: DataFrame, pairs: tuple[str, ...] = LAK_PAIRS) -> DataFrame:

@@ -103,13 +103,13 @@ def sink_replace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sink_replace_keys_stored", _REPLACE_SQL)
 def sink_replace_keys_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same on a stored table: only the changed partitions are written."""
+    """The same on a stored table: only the changed days are written."""
     ledger = stored(spark, _DETAIL)
     canon = views.canon(spark, sf_dir)
     detail = filters.otb(canon)
     ledger.append(_DETAIL, views.detail_old(detail))
     keys = changes.changed_keys(canon, ledger.table(_DETAIL))
-    ledger.replace_partitions(_DETAIL, keys, changes.restrict_to_keys(detail, keys))
+    ledger.replace_keys(_DETAIL, keys, changes.restrict_to_keys(detail, keys))
     return ledger.table(_DETAIL)
 
 

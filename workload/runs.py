@@ -249,7 +249,7 @@ def pipe_fx_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
     fresh = usd_rates(landed_json(spark, sf_dir))
     ledger.append("exchange_rate", fresh)
     # The day's pairs are replaced, so loading them again changes nothing.
-    ledger.replace_partitions("exchange_rate", fresh, fresh)
+    ledger.replace_keys("exchange_rate", fresh, fresh)
     return ledger.table("exchange_rate")
 
 
@@ -295,7 +295,7 @@ def pipe_run_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("pipe_run_incremental_stored", _RUN_INCREMENTAL_SQL)
 def pipe_run_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same run on stored tables, where only changed partitions are written."""
+    """The same run on stored tables, where only changed days are written."""
     ledger = stored(
         spark,
         "stg_smile",

@@ -11,11 +11,10 @@ from stayledger.dimensions import SITES, property_dim, site_registry, window_dim
 from stayledger.functions.dates import lead_days_clamped
 from stayledger.functions.lead import window_case
 from stayledger.operators import filters, snapshots
-from stayledger.plans.staging import OPERA_DAILY_LAYOUT, SMILE_HL_LAYOUT, from_binary, from_cells
+from stayledger.plans.staging import OPERA_DAILY_LAYOUT, SMILE_HL_LAYOUT, from_binary, from_delimited
 from stayledger.schemas import OPERA_FILE, SMILE_HL_HEADERS
 from stayledger.session import scratch_path
 from stayledger.sources import rates
-from stayledger.sources.delimited import read_cells
 from stayledger.sources.files import list_files
 from stayledger.sources.workbooks import csv_decoder
 from workload import views
@@ -212,9 +211,8 @@ def src_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = [c for c in OPERA_FILE if OPERA_FILE[c] != "date"]
     rows = views.opera_rows(views.booking_base(spark, sf_dir)).select(*reversed(other), *day)
     rows.write.csv(folder, sep="\t", header=True)
-    files = list_files(spark, folder)
-    cells = read_cells(spark, [folder], multiline=False)
-    return from_cells(cells, files, OPERA_DAILY_LAYOUT).rows.drop("URI")
+    files = list_files(spark, folder).filter(F.col("NAME").endswith(".csv"))
+    return from_delimited(files, OPERA_DAILY_LAYOUT, multiline=False).rows.drop("URI")
 
 
 _SMILE_SQL = """
