@@ -16,7 +16,7 @@ HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
 from stayledger.session import build_session  # noqa: E402
-from workload import mutations, projections, relations, runs, scans  # noqa: E402,F401
+from workload import landing, mutations, projections, relations, runs, scans  # noqa: E402,F401
 from workload.registry import QUERIES  # noqa: E402
 
 HEADLINE = (

@@ -13,16 +13,15 @@ def window_case(days: Column, windows: tuple[LeadWindow, ...] = LEAD_WINDOWS, op
 
     ``open_top`` lets the open-ended window match; the closed comparison of the
     strict variant never does, since a NULL bound compares as unknown."""
-    case = None
+    case, reached = F, None
     for w in check_windows(windows):
+        if reached is None or w.lower > reached + 1:
+            case = case.when(days < w.lower, F.lit(None))
         if w.upper is not None:
-            hit = days.between(w.lower, w.upper)
+            case, reached = case.when(days <= w.upper, w.id), w.upper
         elif open_top:
-            hit = days >= w.lower
-        else:
-            continue
-        case = F.when(hit, w.id) if case is None else case.when(hit, w.id)
-    return (F.lit(None) if case is None else case).cast("int")
+            case = case.when(days >= w.lower, w.id)
+    return case.otherwise(F.lit(None)).cast("int")
 
 
 def _legacy(days: Column, field: int) -> Column:

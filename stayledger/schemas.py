@@ -261,6 +261,7 @@ MANIFEST = {
     "NAME": "string",
     "STATUS": "string",
     "REASON": "string",
+    "REPORT_AT": "timestamp_ntz",
     "MODIFIED_AT": "timestamp_ntz",
     "REPORT_DATE": "date",
 }

@@ -87,12 +87,11 @@ class Ledger:
             )
 
     def append(self, table: str, rows: DataFrame) -> None:
-        self._insert(table, rows, overwrite=False)
+        self._insert(table, rows)
 
     def truncate_load(self, table: str, rows: DataFrame) -> None:
         """Replace the whole table."""
-        with _overwrite_mode(self.spark, "static"):
-            self._insert(table, rows, overwrite=True)
+        self._insert(table, rows, overwrite="static")
 
     def replace_keys(
         self,
@@ -122,8 +121,8 @@ class Ledger:
             return
         kept = stored.filter(F.col(spec.day).isin(days)).join(keys, list(on), "left_anti")
         filled = _days(kept.select(spec.day).union(new_days))
-        with _overwrite_mode(self.spark, "dynamic"):
-            self._insert(table, schemas.conform(kept, spec.columns).unionByName(schemas.conform(rows, spec.columns)), overwrite=True)
+        merged = schemas.conform(kept, spec.columns).unionByName(schemas.conform(rows, spec.columns))
+        self._insert(table, merged, overwrite="dynamic")
         self._drop_days(table, sorted(set(days) - set(filled)))
 
     def delete_keys(self, table: str, keys: DataFrame, on: tuple[str, ...] | None = None) -> None:
@@ -135,18 +134,20 @@ class Ledger:
             specs = ", ".join(f"PARTITION (`{TABLES[table].day}` = '{day.isoformat()}')" for day in some)
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {specs}")
 
-    def _insert(self, table: str, rows: DataFrame, overwrite: bool) -> None:
+    def _insert(self, table: str, rows: DataFrame, overwrite: str | None = None) -> None:
         spec = TABLES[table]
         ordered = [c for c in spec.columns if c != spec.day] + [spec.day]
         inner = [c for c in spec.key if c != spec.day]
         # The rebalance lets AQE split a heavy day over tasks and merge light ones.
-        (
+        placed = (
             schemas.conform(rows, spec.columns)
             .select(*ordered)
             .hint("rebalance", spec.day)
             .sortWithinPartitions(spec.day, *inner)
-            .write.insertInto(self.name(table), overwrite=overwrite)
         )
+        # The mode is read from the session of the frame that is written.
+        with _overwrite_mode(placed.sparkSession, overwrite or "static"):
+            placed.write.insertInto(self.name(table), overwrite=overwrite is not None)
 
 
 def _days(df: DataFrame) -> list[date]:

@@ -28,6 +28,7 @@ LOADED_PROPERTY = "Supplier#000000002"
 # Columns that come from a table other than lineitem.
 _FROM = {
     "PROPERTY": "supplier",
+    "NATION": "supplier",
     "STATUS": "orders",
     "RATE_CODE": "orders",
     "BK_SOURCE": "orders",
@@ -52,7 +53,7 @@ def booking_base(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     df = table(spark, sf_dir, "lineitem")
     if needs("supplier"):
         df = df.join(
-            table(spark, sf_dir, "supplier").select("s_suppkey", "s_name"),
+            table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey"),
             F.col("l_suppkey") == F.col("s_suppkey"),
             "left",
         )
@@ -102,6 +103,7 @@ def booking_base(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     }
     if needs("supplier"):
         exprs["PROPERTY"] = F.col("s_name")
+        exprs["NATION"] = F.col("s_nationkey")
     if needs("orders"):
         exprs |= {
             "STATUS": F.col("o_orderstatus"),
@@ -124,33 +126,35 @@ def smile_rows(base: DataFrame) -> DataFrame:
     return conform(base.withColumn("CREATE_TIME", F.col("CREATE_DATE").cast("timestamp_ntz")), STG_SMILE)
 
 
-def opera_rows(base: DataFrame) -> DataFrame:
-    """Base rows in the Opera staging layout, where ARR is the arrival date."""
-    return conform(
-        base.drop("ARR").withColumnsRenamed(
-            {
-                "STAYING": "CONSIDERED_DATE",
-                "ARRIVAL": "ARR",
-                "DEPARTURE": "DEP",
-                "CREATE_DATE": "CREATED_DATE",
-                "MARKET": "MARKET_CODE",
-                "R_TYPE": "ROOM_CAT",
-                "R_CHARGE": "RTC",
-                "ROOM_REV": "ROOM_REVENUE",
-                "FB_REV": "FOOD_REVENUE",
-                "OTHER_REV": "OTHER_REVENUE",
-                "N_OF_ROOM": "NO_ROOMS",
-                "N_OF_ADT": "ADULTS",
-                "N_OF_CHD": "CHILDREN",
-                "BK_SOURCE": "SOURCE_CODE",
-                "STATUS": "CHANNEL",
-                "FOLIONUM": "RESV_NAME_ID",
-            }
-        ),
-        STG_OPERA,
+def opera_names(base: DataFrame) -> DataFrame:
+    """Base rows under Opera's column names, where ARR is the arrival date."""
+    return base.drop("ARR").withColumnsRenamed(
+        {
+            "STAYING": "CONSIDERED_DATE",
+            "ARRIVAL": "ARR",
+            "DEPARTURE": "DEP",
+            "CREATE_DATE": "CREATED_DATE",
+            "MARKET": "MARKET_CODE",
+            "R_TYPE": "ROOM_CAT",
+            "R_CHARGE": "RTC",
+            "ROOM_REV": "ROOM_REVENUE",
+            "FB_REV": "FOOD_REVENUE",
+            "OTHER_REV": "OTHER_REVENUE",
+            "N_OF_ROOM": "NO_ROOMS",
+            "N_OF_ADT": "ADULTS",
+            "N_OF_CHD": "CHILDREN",
+            "BK_SOURCE": "SOURCE_CODE",
+            "STATUS": "CHANNEL",
+            "FOLIONUM": "RESV_NAME_ID",
+        }
     )
 
 
+def opera_rows(base: DataFrame) -> DataFrame:
+    """Base rows in the Opera staging layout."""
+    return conform(opera_names(base), STG_OPERA)
+
+
 def staging(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(SMILE staging, Opera staging): together every row of the base.
 
