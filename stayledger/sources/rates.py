@@ -63,7 +63,8 @@ def _cells(row: Column) -> Column:
 
     def spread(cell: Column) -> Column:
         span = F.regexp_extract(cell, r"""(?is)^<t[hd]\b[^>]*\bcolspan\s*=\s*["']?(\d+)""", 1).try_cast("int")
-        return F.array_repeat(_text(cell), F.greatest(F.coalesce(span, F.lit(1)), F.lit(1)))
+        width = F.when(F.lower(cell).contains("colspan"), F.greatest(F.coalesce(span, F.lit(1)), F.lit(1))).otherwise(1)
+        return F.array_repeat(_text(cell), width)
 
     return F.flatten(F.transform(cells, spread))
 
