@@ -13,8 +13,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # The marts hold naive local times throughout.
-    "spark.sql.timestampType": "TIMESTAMP_NTZ",
 }
 
 

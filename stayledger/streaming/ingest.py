@@ -22,7 +22,7 @@ from stayledger.sources.files import file_columns, with_property, with_report_da
 # A file that arrives late carries an old time and must not be taken for forgotten.
 MAX_FILE_AGE = "36500d"
 
-_BINARY = "path string, modificationTime timestamp, length bigint, content binary"
+_BINARY = "path string, modificationTime timestamp_ltz, length bigint, content binary"
 
 
 def new_file_stream(ledger: Ledger, root: str, max_files: int | None = None) -> DataFrame:

@@ -21,7 +21,9 @@ def spark(tmp_path_factory):
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "2",
+            # The tables here are tiny: compiling stages would take longer than running them.
+            "spark.sql.codegen.wholeStage": "false",
             "spark.driver.memory": "8g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
