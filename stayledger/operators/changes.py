@@ -1,8 +1,9 @@
 """What changed, what is missing, and the new version of a table that follows from it.
 
 Key frames are aggregated before any join, and the joins are plain equi semi /
-anti joins on the fact side: Spark broadcasts the keys when they are small
-enough and otherwise shuffles, splitting skewed partitions of the fact side.
+anti joins on the fact side.  Whether the keys are broadcast is the caller's to
+decide (``session.pin_keys`` does, by counting them); otherwise Spark shuffles,
+splitting skewed partitions of the fact side.
 """
 
 from __future__ import annotations

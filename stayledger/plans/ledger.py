@@ -19,7 +19,7 @@ from stayledger.operators.marts import pace_actual, pace_report
 from stayledger.plans import marts
 from stayledger.plans.marts import Windows
 from stayledger.schemas import HISTORY, conform
-from stayledger.session import pin
+from stayledger.session import pin, pin_keys
 from stayledger.sinks.tables import Ledger
 
 DETAIL, HISTORY_TABLE = "booking_pace_detail", "booking_pace_history"
@@ -55,7 +55,7 @@ def refresh_detail_incremental(ledger: Ledger, as_of: date) -> None:
     History goes first: the change list is found again from detail if the run
     breaks off in between."""
     canon = _canon(ledger)
-    keys = pin(changes.changed_keys(canon, ledger.table(DETAIL)))
+    keys = pin_keys(changes.changed_keys(canon, ledger.table(DETAIL)))
     fresh = _within(canon, keys, "REPORT_DATE")
     ledger.replace_keys(
         HISTORY_TABLE,
@@ -74,7 +74,7 @@ def refresh_report_full(ledger: Ledger, windows: Windows = LEAD_WINDOWS) -> None
 def refresh_report_incremental(ledger: Ledger, as_of: date, windows: Windows = LEAD_WINDOWS) -> None:
     """Replace the changed days in report; last night and the missing nights in actual."""
     detail, history = ledger.table(DETAIL), ledger.table(HISTORY_TABLE)
-    keys = pin(changes.changed_keys(detail, ledger.table(REPORT)))
+    keys = pin_keys(changes.changed_keys(detail, ledger.table(REPORT)))
     fresh = pace_report(_within(detail, keys, "REPORT_DATE"), windows)
     # The keys come from detail, so each of them has rows.
     ledger.replace_keys(REPORT, keys, fresh, present=keys)
@@ -83,7 +83,7 @@ def refresh_report_incremental(ledger: Ledger, as_of: date, windows: Windows = L
     night = F.lit(as_of - timedelta(days=1))
     actual = ledger.table(ACTUAL).select("PROPERTY", F.col("STAYING_DATE").alias("STAYING"))
     last = actual.unionByName(history.select("PROPERTY", "STAYING")).filter(F.col("STAYING") == night)
-    nights = pin(changes.actual_gaps(history, ledger.table(ACTUAL)).union(last).distinct())
+    nights = pin_keys(changes.actual_gaps(history, ledger.table(ACTUAL)).union(last).distinct())
     rows = _within(history, nights, "STAYING")
     ledger.replace_keys(
         ACTUAL, _as_actual_keys(nights), pace_actual(rows, windows), present=_as_actual_keys(rows)
@@ -94,11 +94,11 @@ def restore(ledger: Ledger, start: date, end: date, windows: Windows = LEAD_WIND
     """Fill the nights history missed from the snapshots of a range, then the nights actual lacks."""
     canon = filters.reported_between(_canon(ledger), start, end)
     nights = marts.as_history(filters.past_night(canon))
-    gaps = pin(changes.missing_keys(nights, ledger.table(HISTORY_TABLE), changes.NIGHT_KEY))
+    gaps = pin_keys(changes.missing_keys(nights, ledger.table(HISTORY_TABLE), changes.NIGHT_KEY))
     ledger.replace_keys(HISTORY_TABLE, gaps, _within(nights, gaps, "STAYING"))
 
     history = filters.night_reported_between(ledger.table(HISTORY_TABLE), start, end)
-    missing = pin(changes.actual_gaps(history, ledger.table(ACTUAL)))
+    missing = pin_keys(changes.actual_gaps(history, ledger.table(ACTUAL)))
     fresh = pace_actual(_within(history, missing, "STAYING"), windows, mode)
     ledger.replace_keys(ACTUAL, _as_actual_keys(missing), fresh, present=_as_actual_keys(missing))
 
@@ -111,12 +111,12 @@ def load_history_full(
     What those properties had after the cutoff is dropped from history; actual
     keeps its nights after the cutoff."""
     rows = pin(conform(rows, HISTORY).filter(F.col("STAYING").isNotNull()))
-    props = pin(rows.select("PROPERTY").distinct())
+    props = pin_keys(rows.select("PROPERTY").distinct())
     kept = rows.filter(F.col("STAYING") <= F.lit(cutoff))
 
     past = ledger.table(ACTUAL).filter(F.col("STAYING_DATE") <= F.lit(cutoff)).select("PROPERTY", "STAYING_DATE")
     stale = past.distinct().join(props, "PROPERTY", "left_semi")
-    nights = pin(stale.union(_as_actual_keys(kept)).distinct())
+    nights = pin_keys(stale.union(_as_actual_keys(kept)).distinct())
     ledger.replace_keys(HISTORY_TABLE, props, kept, on=("PROPERTY",))
     ledger.replace_keys(ACTUAL, nights, pace_actual(kept, windows, mode), present=_as_actual_keys(kept))
 
@@ -124,7 +124,7 @@ def load_history_full(
 def load_history_incremental(ledger: Ledger, rows: DataFrame) -> None:
     """Add the nights history does not have."""
     rows = conform(rows, HISTORY).filter(F.col("STAYING").isNotNull())
-    gaps = pin(changes.missing_keys(rows, ledger.table(HISTORY_TABLE), changes.NIGHT_KEY))
+    gaps = pin_keys(changes.missing_keys(rows, ledger.table(HISTORY_TABLE), changes.NIGHT_KEY))
     ledger.replace_keys(HISTORY_TABLE, gaps, _within(rows, gaps, "STAYING"))
 
 

@@ -20,7 +20,7 @@ from stayledger.operators.canonical import union_layouts
 from stayledger.operators.lead_windows import CLAMPED, STRICT
 from stayledger.operators.marts import pace_actual, pace_report, pace_report_legacy
 from stayledger.schemas import ACTUAL, DETAIL, HISTORY, REPORT, conform
-from stayledger.session import pin
+from stayledger.session import pin_keys
 
 Windows = tuple[LeadWindow, ...]
 
@@ -63,7 +63,7 @@ def detail_incremental(
 ) -> DetailHistory:
     """Replace the changed days in detail; last night in history where today's snapshot changed."""
     canon = union_layouts(smile, opera)
-    keys = pin(changes.changed_keys(canon, detail))
+    keys = pin_keys(changes.changed_keys(canon, detail))
     fresh = changes.restrict_to_keys(canon, keys)
     return DetailHistory(
         changes.replace_keys(conform(detail, DETAIL), keys, filters.otb(fresh)),
@@ -86,7 +86,7 @@ def actual_refresh_rows(history: DataFrame, kept: DataFrame, as_of: date) -> Dat
     key is nobody's gap."""
     last_night = F.col("STAYING") == F.lit(as_of - timedelta(days=1))
     known = kept.select("PROPERTY", F.col("STAYING_DATE").alias("STAYING"))
-    known_nights = pin(changes.distinct_keys(known, changes.NIGHT_KEY))
+    known_nights = pin_keys(changes.distinct_keys(known, changes.NIGHT_KEY))
     missing = changes.delete_keys(history, known_nights, changes.NIGHT_KEY)
     complete = F.col("PROPERTY").isNotNull() & F.col("STAYING").isNotNull()
     return missing.filter(complete | F.coalesce(last_night, F.lit(False)))
@@ -101,7 +101,7 @@ def report_incremental(
     windows: Windows = LEAD_WINDOWS,
 ) -> ReportActual:
     """Replace the changed days in report; last night and missing nights in actual."""
-    keys = pin(changes.changed_keys(detail, report))
+    keys = pin_keys(changes.changed_keys(detail, report))
     fresh = pace_report(changes.restrict_to_keys(detail, keys), windows)
     kept = changes.delete_night(conform(actual, ACTUAL), as_of)
     return ReportActual(
@@ -134,10 +134,10 @@ def restore(
     # row, so the gap test runs on the past nights instead of all staging rows.
     nights = as_history(filters.past_night(canon)).filter(F.col("PROPERTY").isNotNull())
     history = conform(history, HISTORY)
-    had = pin(changes.distinct_keys(history, changes.NIGHT_KEY))
+    had = pin_keys(changes.distinct_keys(history, changes.NIGHT_KEY))
     filled = history.unionByName(changes.delete_keys(nights, had, changes.NIGHT_KEY))
     in_range = filters.night_reported_between(filled, start, end)
-    known = pin(
+    known = pin_keys(
         changes.distinct_keys(
             actual.select("PROPERTY", F.col("STAYING_DATE").alias("STAYING")), changes.NIGHT_KEY
         )

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.ansi.enabled": "true",
@@ -49,3 +50,16 @@ def pin(df: DataFrame) -> DataFrame:
     to the tables it was read from (or a lost executor) do not change it."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+# Above this many rows a key or file list is joined by shuffle; below, at a few
+# hundred bytes a row, it takes well under 100 MB on each executor.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def pin_keys(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Pin a list of keys or files and, once counted to be small, have it broadcast to its joins.
+
+    A longer list stays an ordinary join side, which Spark shuffles and splits where skewed."""
+    pinned = pin(df)
+    return F.broadcast(pinned) if pinned.limit(limit + 1).count() <= limit else pinned

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger import schemas
-from stayledger.session import pin
+from stayledger.session import pin_keys
 
 
 @dataclass(frozen=True)
@@ -110,7 +110,7 @@ class Ledger:
         spec = TABLES[table]
         on = on or spec.key
         stored = self.table(table)
-        keys = pin(keys.select(*on).dropna().distinct())
+        keys = pin_keys(keys.select(*on).dropna().distinct())
         new_days = (rows if present is None else present).select(spec.day).distinct()
         if spec.day in on:
             touched = keys.select(spec.day)
