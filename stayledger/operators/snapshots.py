@@ -9,29 +9,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# File-name patterns (day, month, year, then hour and minute where present).
-SMILE_NAME = r"(?i)^.*(\d{2})(\d{2})(\d{4})_(\d{2})(\d{2})"
-DATE_PREFIX_NAME = r"(?i)^.*Date(\d{2})(\d{2})(\d{4})_(\d{2})(\d{2})"
-OPERA_NAME = r"(?i)^.*_(\d{2})(\d{2})(\d{4})"
-HISTORY_NAME = r"(?i)_history"
+# File-name patterns, the stamp being ddMMyyyy and, for SMILE, _HHmm.
+SMILE_NAME = r"(?i)^.*(\d{8}_\d{4})"
+DATE_PREFIX_NAME = r"(?i)^.*Date(\d{8}_\d{4})"
+OPERA_NAME = r"(?i)^.*_(\d{8})"
+HISTORY_MARK = "_history"
 
 
-def _part(name: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(name, pattern, group).try_cast("int")
+def _stamp_time(stamp: Column) -> Column:
+    """Timestamp of a ddMMyyyy or ddMMyyyy_HHmm stamp; NULL when it is empty or no such day exists."""
 
+    def part(start: int, length: int) -> Column:
+        return F.substring(stamp, start, length).try_cast("int")
 
-def _moment(name: Column, pattern: str, with_time: bool) -> Column:
-    """Timestamp in the name; NULL when the pattern or the calendar does not fit."""
-    day, month, year = (_part(name, pattern, g) for g in (1, 2, 3))
     zero = F.lit(0)
-    hour, minute = (_part(name, pattern, 4), _part(name, pattern, 5)) if with_time else (zero, zero)
-    return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0).cast("decimal(16,6)"))
+    return F.try_make_timestamp_ntz(
+        part(5, 4),
+        part(3, 2),
+        part(1, 2),
+        F.coalesce(part(10, 2), zero),
+        F.coalesce(part(12, 2), zero),
+        F.lit(0).cast("decimal(16,6)"),
+    )
+
+
+def is_history_name(name: Column) -> Column:
+    return F.lower(name).contains(HISTORY_MARK)
 
 
 def with_smile_name(files: DataFrame, pattern: str = SMILE_NAME) -> DataFrame:
     """Report day and time of SMILE snapshots; history files and other names get NULL."""
     name = F.col("NAME")
-    at = F.when(~name.rlike(HISTORY_NAME), _moment(name, pattern, with_time=True))
+    at = F.when(~is_history_name(name), _stamp_time(F.regexp_extract(name, pattern, 1)))
     return files.withColumn("REPORT_AT", at).withColumn("REPORT_DATE", F.to_date("REPORT_AT"))
 
 
@@ -39,10 +48,8 @@ def with_opera_name(files: DataFrame) -> DataFrame:
     """Report day of Opera snapshots: ``.txt``, no history file, day in the name or else the file's own day."""
     name = F.col("NAME")
     usable = F.lower(name).endswith(".txt") & ~F.lower(name).contains("history")
-    dated = name.rlike(OPERA_NAME)
-    at = F.when(usable & dated, _moment(name, OPERA_NAME, with_time=False)).when(
-        usable & ~dated, F.col("CREATED_AT")
-    )
+    stamp = F.regexp_extract(name, OPERA_NAME, 1)
+    at = F.when(usable & (stamp != ""), _stamp_time(stamp)).when(usable & (stamp == ""), F.col("CREATED_AT"))
     return files.withColumn("REPORT_AT", at).withColumn("REPORT_DATE", F.to_date("REPORT_AT"))
 
 
@@ -86,7 +93,7 @@ def new_files(files: DataFrame, archived: DataFrame) -> DataFrame:
 def history_file(files: DataFrame) -> DataFrame:
     """One history file per property: the first by name."""
     return (
-        files.filter(F.col("NAME").rlike(HISTORY_NAME))
+        files.filter(is_history_name(F.col("NAME")))
         .groupBy("PROPERTY")
         .agg(F.min_by(F.struct(*files.columns), F.col("NAME")).alias("f"))
         .select("f.*")
@@ -95,7 +102,7 @@ def history_file(files: DataFrame) -> DataFrame:
 
 def unnamed_files(files: DataFrame) -> DataFrame:
     """Files that are no history file and have no usable report day: to be looked at by hand."""
-    return files.filter(F.col("REPORT_DATE").isNull() & ~F.col("NAME").rlike(HISTORY_NAME))
+    return files.filter(F.col("REPORT_DATE").isNull() & ~is_history_name(F.col("NAME")))
 
 
 def carry_flag(files: DataFrame, loaded: DataFrame, flag: str = "ETL_CHECK") -> DataFrame:

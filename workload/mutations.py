@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from stayledger.operators import changes, filters
 from stayledger.operators.marts import pace_actual
+from stayledger.operators.snapshots import latest_per_day, with_smile_name
 from stayledger.plans.rates import lak_rates, replace_rates, usd_rates
 from stayledger.session import scratch_path
 from stayledger.sinks.manifest import manifest_rows
-from stayledger.operators.snapshots import latest_per_day, with_smile_name
 from stayledger.sinks.tables import TABLES, Ledger
 from workload import views
 from workload.registry import query
@@ -202,14 +202,14 @@ def landed_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "sink_archive_manifest",
-    """WITH named AS (SELECT *, CAST(MODIFIED_AT AS DATE) AS REPORT_DATE,
+    """WITH named AS (SELECT *, CAST(MODIFIED_AT AS DATE) AS REPORT_DATE, date_trunc('minute', MODIFIED_AT) AS REPORT_AT,
                row_number() OVER (PARTITION BY PROPERTY, CAST(MODIFIED_AT AS DATE)
                    ORDER BY date_trunc('minute', MODIFIED_AT) DESC, MODIFIED_AT DESC, NAME DESC) AS rn FROM files)
-       SELECT PROPERTY, NAME, 'LOADED' AS STATUS, CAST(NULL AS VARCHAR) AS REASON, MODIFIED_AT, REPORT_DATE
+       SELECT PROPERTY, NAME, 'LOADED' AS STATUS, CAST(NULL AS VARCHAR) AS REASON, REPORT_AT, MODIFIED_AT, REPORT_DATE
        FROM named n WHERE EXISTS (SELECT 1 FROM named g WHERE g.rn = 1 AND g.PROPERTY = n.PROPERTY
                                   AND g.REPORT_DATE = n.REPORT_DATE AND g.PROPERTY <> 'error')
        UNION ALL
-       SELECT PROPERTY, NAME, 'FAILED', 'missing columns: ARR', MODIFIED_AT, REPORT_DATE
+       SELECT PROPERTY, NAME, 'FAILED', 'missing columns: ARR', REPORT_AT, MODIFIED_AT, REPORT_DATE
        FROM named WHERE rn = 1 AND PROPERTY = 'error'""",
 )
 def sink_archive_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:

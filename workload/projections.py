@@ -2,16 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.functions import dates, fx, lead, money
 from stayledger.operators import canonical, filters, snapshots
 from stayledger.plans.rates import usd_rates
-from stayledger.schemas import SMILE_HL_HEADERS, SMILE_PQ_HEADERS, STG_OPERA, required
-from stayledger.sources.cells import typed_cell
+from stayledger.schemas import SMILE_HL_HEADERS, SMILE_PQ_HEADERS, required
 from workload import views
 from workload.mutations import RATES_SQL, landed_json
 from workload.registry import query
