@@ -88,7 +88,7 @@ def test_utf16_serial_dates_with_foreign_columns_in_another_order(spark, ledger,
 
 
 def test_daily_export_keeps_rows_with_bad_dates_for_the_audit(spark, ledger, tmp_path):
-    text = "﻿" + opera_text(("1-8-2025", "01-07-2025", "01-08-2025", "02-08-2025", 1), ("31-02-2025", "x", "01-08-2025", "02-08-2025", 2))
+    text = "\ufeff" + opera_text(("1-8-2025", "01-07-2025", "01-08-2025", "02-08-2025", 1), ("31-02-2025", "x", "01-08-2025", "02-08-2025", 2))
     put(tmp_path / "in", "CPV", "pace_01082025.txt", text)
     staging.stage_incremental(ledger, str(tmp_path / "in"), SITES, layouts=DAILY)
     assert rows(ledger.table("stg_opera"), "CONSIDERED_DATE", "NO_ROOMS") == [(date(2025, 8, 1), 1), (None, 2)]
