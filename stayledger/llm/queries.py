@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from stayledger.llm import decontaminate, line_rules, pieces, secrets, simhash
+from stayledger.llm import (
+    decontaminate,
+    html_blocks,
+    line_rules,
+    longest_previous,
+    pieces,
+    pii,
+    rule_ensemble,
+    secrets,
+    severity,
+    simhash,
+)
 from stayledger.llm.common import listed, read
 from stayledger.llm.registry import query
 
@@ -14,6 +25,17 @@ def _n(kind: str):
     return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
 
 
+@query("op1_pii")
+def op1_pii(spark, sf_dir):
+    found = pii.find(read(spark, sf_dir, "documents"))[0]
+    return found.select(
+        "doc_id",
+        *map(_n, pii.KINDS),
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
 @query("op2_simhash")
 def op2_simhash(spark, sf_dir):
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
@@ -34,6 +56,24 @@ def op3_decontamination(spark, sf_dir):
     )
 
 
+@query("op4_longest_previous")
+def op4_longest_previous(spark, sf_dir):
+    found = longest_previous.remove_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op5_severity")
+def op5_severity(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return severity.score(docs, severity.fit(docs, read(spark, sf_dir, "labels")))
+
+
+@query("op6_html_blocks")
+def op6_html_blocks(spark, sf_dir):
+    found = html_blocks.extract(read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 @query("op7_secrets")
 def op7_secrets(spark, sf_dir):
     found = secrets.findings(read(spark, sf_dir, "documents"))[0]
@@ -41,6 +81,11 @@ def op7_secrets(spark, sf_dir):
     return found.select("doc_id", *map(_n, secrets.RULES), F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))
 
 
+@query("op8_rule_ensemble")
+def op8_rule_ensemble(spark, sf_dir):
+    return rule_ensemble.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 @query("op9_line_rules")
 def op9_line_rules(spark, sf_dir):
     return line_rules.judge(read(spark, sf_dir, "documents")).select(
