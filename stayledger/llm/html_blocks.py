@@ -30,6 +30,9 @@ LABELLED = [
     (3, 0.0, 45, 0.0, 7, 0.1, 0, 1, 1), (40, 0.0, 30, 0.0, 12, 0.3, 0, 1, 1), (12, 0.25, 70, 0.0, 66, 0.0, 0, 1, 1),
     (150, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1), (8, 1.0, 50, 0.0, 50, 0.0, 0, 1, 1), (2, 0.5, 3, 1.0, 4, 0.0, 0, 1, 1),
     (20, 0.0, 4, 1.0, 2, 0.0, 0, 1, 1), (300, 0.1, 12, 0.0, 8, 0.5, 0, 1, 1), (5, 0.0, 5, 0.0, 5, 0.0, 0, 1, 1),
+    (1, 0.0, 1, 0.0, 0, 0.0, 0, 1, 1), (2, 0.0, 0, 0.0, 0, 0.0, 0, 1, 1), (2, 1.0, 2, 1.0, 2, 1.0, 0, 1, 1),
+    (5, 1.0, 4, 1.0, 6, 1.0, 0, 1, 1), (3, 0.0, 2, 1.0, 2, 1.0, 0, 1, 1), (25, 0.8, 20, 0.7, 18, 0.9, 0, 1, 1),
+    (4, 0.6, 30, 0.0, 2, 1.0, 0, 1, 1), (8, 0.0, 4, 1.0, 0, 0.0, 0, 1, 1), (6, 0.0, 1, 0.0, 3, 1.0, 0, 1, 1),
     (60, 0.0, 8, 0.0, 70, 0.0, 0, 0, 1), (45, 0.05, 50, 0.0, 60, 0.0, 0, 0, 1), (25, 0.0, 90, 0.0, 110, 0.0, 0, 0, 1),
     (18, 0.1, 40, 0.0, 35, 0.0, 0, 0, 1), (120, 0.0, 6, 1.0, 5, 1.0, 0, 0, 1), (9, 0.0, 12, 0.0, 95, 0.0, 0, 0, 1),
     (35, 0.0, 3, 1.0, 40, 0.1, 0, 0, 1), (70, 0.2, 55, 0.1, 4, 0.0, 0, 0, 1), (16, 0.0, 60, 0.0, 6, 0.0, 0, 0, 1),
