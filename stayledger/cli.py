@@ -5,15 +5,15 @@ from __future__ import annotations
 import argparse
 from datetime import date, datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.dimensions import SITES
 from stayledger.plans import ledger as marts
 from stayledger.plans import staging
-from stayledger.plans.audit import audit_tables
-from stayledger.plans.rates import lak_rates, refresh_rates, usd_rates
-from stayledger.session import build_session, scratch_path
+from stayledger.plans.audit import store_audit
+from stayledger.plans.rates import LAK_PAIRS, USD_PAIRS, lak_rates, refresh_rates, usd_rates
+from stayledger.session import build_session
 from stayledger.sinks.tables import Ledger
 from stayledger.streaming.ingest import refresh_stream
 
@@ -56,17 +56,16 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
-def landed_rates(spark: SparkSession, path: str, day: date, currency: str):
-    """Rates of one day from a landed payload file."""
+def landed_payload(spark: SparkSession, path: str, day: date, currency: str) -> DataFrame:
+    """One day's landed payload file."""
     column = "PAYLOAD" if currency == "USD" else "HTML"
     now = F.current_timestamp().cast("timestamp_ntz")
-    text = spark.read.text(path, wholetext=True).select(
+    return spark.read.text(path, wholetext=True).select(
         F.lit(day).alias("REPORT_DATE"),
         F.col("value").alias(column),
         now.alias("CREATED_AT"),
         now.alias("MODIFIED_AT"),
     )
-    return usd_rates(text) if currency == "USD" else lak_rates(text)
 
 
 def _need(args: argparse.Namespace, *names: str) -> None:
@@ -114,16 +113,17 @@ def run(args: argparse.Namespace, spark: SparkSession | None = None) -> None:
         marts.restore(ledger, args.start_date, args.end_date)
     elif task == "get_exchange_rate":
         _need(args, "root")
-        refresh_rates(ledger, landed_rates(spark, args.root, args.day or as_of, args.currency))
+        landed = landed_payload(spark, args.root, args.day or as_of, args.currency)
+        rates, pairs = (usd_rates, USD_PAIRS) if args.currency == "USD" else (lak_rates, LAK_PAIRS)
+        refresh_rates(ledger, rates(landed), landed, pairs)
     elif task == "sample":
         _need(args, "root")
         staging.load_sample(ledger, args.root)
     elif task == "stream":
-        _need(args, "root")
-        checkpoint = args.checkpoint or scratch_path(spark, "stream")
-        refresh_stream(ledger, args.root, checkpoint, as_of).awaitTermination()
+        _need(args, "root", "checkpoint")
+        refresh_stream(ledger, args.root, args.checkpoint, as_of).awaitTermination()
     elif task == "audit":
-        audit_tables(ledger).show(1000, truncate=False)
+        print(f"{store_audit(ledger, as_of)} lines in {ledger.name('audit')}, AUDIT_DATE {as_of}")
 
 
 if __name__ == "__main__":

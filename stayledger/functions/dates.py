@@ -37,20 +37,26 @@ def abbrev_date(c: Column | str, strict: bool = False) -> Column:
 def dayfirst_date(c: Column | str) -> Column:
     """Free-form date, day before month; anything else becomes NULL."""
     text = F.trim(_col(c))
-    first_token = F.substring_index(text, " ", 1)
-    return F.coalesce(
-        F.try_to_date(first_token, "d/M/yyyy"),
-        F.try_to_date(first_token, "d-M-yyyy"),
-        F.try_to_date(first_token, "d.M.yyyy"),
-        F.try_to_date(first_token, "yyyy-M-d"),
-        F.try_to_date(first_token, "yyyy/M/d"),
+    day, clock = F.substring_index(text, " ", 1), F.trim(F.regexp_replace(text, r"^\S+", ""))
+    # What follows the day must be a time of day.
+    whole = (clock == "") | F.rlike(clock, F.lit(r"^([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?$"))
+    return F.when(
+        whole,
+        F.coalesce(
+            F.try_to_date(day, "d/M/yyyy"),
+            F.try_to_date(day, "d-M-yyyy"),
+            F.try_to_date(day, "d.M.yyyy"),
+            F.try_to_date(day, "yyyy-M-d"),
+            F.try_to_date(day, "yyyy/M/d"),
+        ),
     )
 
 
 def cell_date(c: Column | str) -> Column:
-    """A spreadsheet cell as text: ISO date or timestamp, else a serial number."""
+    """A spreadsheet cell as text: ISO date or timestamp, read as a whole, else a serial number."""
     text = F.trim(_col(c))
-    return F.coalesce(F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd"), excel_serial_date(text))
+    iso = F.when(F.rlike(text, F.lit(r"^\d{4}-\d{2}-\d{2}")), text.try_cast("timestamp_ntz"))
+    return F.coalesce(iso.cast("date"), excel_serial_date(text))
 
 
 def cell_timestamp(c: Column | str) -> Column:

@@ -81,6 +81,12 @@ def latest_per_day(files: DataFrame, loaded: DataFrame | None = None) -> DataFra
     )
 
 
+def older_than_loaded(files: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Files of days of which a newer snapshot is loaded."""
+    known = loaded.groupBy("PROPERTY", "REPORT_DATE").agg(F.max("REPORT_AT").alias("_loaded_at"))
+    return files.join(known, ["PROPERTY", "REPORT_DATE"]).filter(F.col("REPORT_AT") < F.col("_loaded_at")).drop("_loaded_at")
+
+
 def ordered_files(files: DataFrame) -> DataFrame:
     return files.orderBy("REPORT_DATE", "PROPERTY", "NAME")
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stayledger.operators import audits
+from stayledger.session import pin
 from stayledger.sinks.tables import Ledger
 
 # Table -> its day column.
@@ -55,6 +58,13 @@ def audit_tables(ledger: Ledger, tables: dict[str, str] = DAY_COLUMN) -> DataFra
     return summary.orderBy("MART", "PROPERTY")
 
 
+def store_audit(ledger: Ledger, as_of: date) -> int:
+    """Keep the summary under its day in the audit table; returns its number of lines."""
+    lines = pin(audit_tables(ledger).withColumn("AUDIT_DATE", F.lit(as_of)))
+    ledger.replace_keys("audit", lines, lines, on=("AUDIT_DATE",), present=lines)
+    return lines.count()
+
+
 def audit_days(ledger: Ledger, table: str) -> DataFrame:
     """Rows per property and day of one table, newest first."""
     return audits.count_by_day(ledger.table(table), DAY_COLUMN[table])

@@ -75,26 +75,6 @@ SMILE_PQ_HEADERS = {
     "Nationality": "NATIONALITY",
 }
 
-# Headers of the superseded layouts that differ from SMILE HL.
-SUPERSEDED_HEADERS = {
-    "Deprature": "DEPARTURE",
-    "Grroup Name": "GROUP_NAME",
-    "N of \nAdt": "N_OF_ADT",
-    "Total turn Over": "TOTAL_TURN_OVER",
-    "Room REV": "ROOM_REV",
-    "Booking date": "BOOKING_DATE",
-    "Booking month": "BOOKING_MONTH",
-    "Booking year": "BOOKING_YEAR",
-    "Arrival Date": "ARRIVAL_DATE",
-    "Arrival Month": "ARRIVAL_MONTH",
-    "Arrival Year": "ARRIVAL_YEAR",
-    "Stay Date": "STAY_DATE",
-    "Stay Month": "STAY_MONTH",
-    "Stay Year": "STAY_YEAR",
-    "DOW": "DOW",
-    "Arrival Room": "ARRIVAL_ROOM",
-}
-
 # Columns of the sample workbook, header -> column ("Deprature" is how the file spells it).
 SAMPLE_HEADERS = {
     "Report Date": "REPORT_DATE",
@@ -141,6 +121,7 @@ OPERA_HISTORY_NAMES = {
     "SOURCE_CODE": "BK_SOURCE",
 }
 
+# Fixed values, from here to the rates: columns of the tables and their types.
 _SMILE_TYPES = {
     "FOLIONUM": "int",
     "ARRIVAL": "date",
@@ -267,6 +248,26 @@ MANIFEST = {
 }
 
 
+LOAD_REJECTS = {
+    "PROPERTY": "string",
+    "FILE_NAME": "string",
+    "COLUMN": "string",
+    "TEXT": "string",
+    "REPORT_DATE": "date",
+}
+
+AUDIT = {
+    "MART": "string",
+    "PROPERTY": "string",
+    "MIN_DATE": "date",
+    "MAX_DATE": "date",
+    "NB_ROWS": "bigint",
+    "NULL_DATES": "bigint",
+    "MODIFIED_AT": "timestamp_ntz",
+    "AUDIT_DATE": "date",
+}
+
+
 def ddl(columns: dict[str, str]) -> str:
     """Column list as DDL text."""
     return ", ".join(f"`{name}` {kind}" for name, kind in columns.items())

@@ -47,6 +47,8 @@ TABLES: dict[str, TableDef] = {
         schemas.EXCHANGE_RATE, "REPORT_DATE", ("REPORT_DATE", "FROM_CURRENCY_CODE", "TO_CURRENCY_CODE")
     ),
     "load_manifest": TableDef(schemas.MANIFEST, "REPORT_DATE", ("PROPERTY", "NAME")),
+    "load_rejects": TableDef(schemas.LOAD_REJECTS, "REPORT_DATE", ("PROPERTY", "REPORT_DATE")),
+    "audit": TableDef(schemas.AUDIT, "AUDIT_DATE", ("MART", "AUDIT_DATE")),
 }
 
 DROP_BATCH = 200

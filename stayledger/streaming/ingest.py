@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stayledger.dimensions import SITES, Site, site_registry
 from stayledger.plans import ledger as marts
-from stayledger.plans.staging import DAILY_LAYOUTS, Layout, stage_listing
+from stayledger.plans.staging import DAILY_LAYOUTS, Layout, retry_failed, stage_listing
 from stayledger.sinks.tables import Ledger
 from stayledger.sources.files import file_columns, with_property, with_report_day
 
@@ -62,6 +62,9 @@ def stage_stream(
         if then is not None:
             then(here)
 
+    # The stream has a refused file behind it, even when it was mended since.
+    if retry_failed(ledger, root, sites, layouts) and then is not None:
+        then(ledger)
     return (
         new_file_stream(ledger, root, max_files)
         .writeStream.foreachBatch(take_in)

@@ -66,6 +66,9 @@ def test_abbrev_strict_raises(spark):
 def test_mixed_serial_and_timestamp_cells(spark):
     assert one(spark, dates.cell_date, "45658") == date(2025, 1, 1)
     assert one(spark, dates.cell_date, "2024-11-01 00:00:00") == date(2024, 11, 1)
+    assert one(spark, dates.cell_date, "2024-01-05garbage") is None
+    assert one(spark, dates.dayfirst_date, "01/02/2024 10:15") == date(2024, 2, 1)
+    assert one(spark, dates.dayfirst_date, "01/02/2024 foo") is None
     assert one(spark, dates.cell_timestamp, "2025-08-18 18:52:54.328883") == datetime(2025, 8, 18, 18, 52, 54, 328883)
 
 
@@ -92,6 +95,8 @@ def test_numbers_in_cells(spark):
     assert one(spark, lambda c: typed_cell(c, "int"), "2.0") == 2
     assert one(spark, lambda c: typed_cell(c, "decimal(18,2)"), "4194666.546") == Decimal("4194666.55")
     assert one(spark, lambda c: typed_cell(c, "int"), "two") is None
+    assert one(spark, lambda c: typed_cell(c, "int"), "2.7") is None
+    assert one(spark, lambda c: typed_cell(c, "int"), "-3.00") == -3
 
 
 def test_turnover(spark):

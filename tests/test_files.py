@@ -28,7 +28,7 @@ SITES = (
     Site("SBHPQ", "PQ site", "SBHPQ", SMILE_PQ),
     Site("FSH", "not loaded", "FSH", ""),
 )
-SMILE = {SMILE_HL: replace(SMILE_HL_LAYOUT, decoder=csv_decoder), SMILE_PQ: replace(SMILE_PQ_LAYOUT, decoder=csv_decoder)}
+SMILE = {SMILE_HL: SMILE_HL_LAYOUT.delimited(), SMILE_PQ: replace(SMILE_PQ_LAYOUT, decoder=csv_decoder)}
 DAILY = {**SMILE, OPERA: OPERA_DAILY_LAYOUT}
 FULL = {**SMILE, OPERA: OPERA_FULL_LAYOUT}
 HISTORY = {**SMILE, OPERA: OPERA_HISTORY_LAYOUT}
@@ -189,6 +189,107 @@ def test_stream_takes_every_file_once_and_a_late_one_too(spark, ledger, tmp_path
     assert counts(ledger, "stg_smile") == [("SRC", date(2025, 8, 2), "Pace_Date02082025_0930.xls", 1)]
 
 
+def statuses(ledger):
+    return rows(ledger.table("load_manifest"), "NAME", "STATUS", "REASON")
+
+
+NIGHT = ("01-08-2025", "01-07-2025", "01-08-2025", "02-08-2025", 1)
+
+
+def test_a_full_load_that_fails_leaves_everything(spark, ledger, tmp_path, monkeypatch):
+    root = tmp_path / "in"
+    put(root, "CPV", "pace_01082025.txt", opera_text(NIGHT))
+    daily = {OPERA: OPERA_DAILY_LAYOUT}
+    staging.stage_incremental(ledger, str(root), SITES, layouts=daily)
+    before = counts(ledger), statuses(ledger)
+
+    def broken(*_):
+        raise OSError("unreadable")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staging, "read_layout", broken)
+        with pytest.raises(OSError):
+            staging.stage_full(ledger, str(root), SITES, layouts=daily)
+    assert (counts(ledger), statuses(ledger)) == before
+    # A full load drops what the folder no longer has.
+    (root / "CPV" / "pace_01082025.txt").unlink()
+    put(root, "CPV", "pace_02082025.txt", opera_text(NIGHT))
+    staging.stage_full(ledger, str(root), SITES, layouts=daily)
+    assert [r[2] for r in counts(ledger)] == ["pace_02082025.txt"]
+    assert statuses(ledger) == [("pace_02082025.txt", "LOADED", None)]
+    (root / "CPV" / "pace_02082025.txt").unlink()
+    put(root, "CPV", "nothing.log", "x")
+    staging.stage_full(ledger, str(root), SITES, layouts=daily)
+    assert counts(ledger) == []
+
+
+def test_cells_that_do_not_fit_are_kept_as_rejected(spark, ledger, tmp_path):
+    root = tmp_path / "in"
+    text = opera_text(NIGHT, ("01-08-2025", "01-07-2025", "01-08-2025", "x", 2.7)).replace("100.50", "1,234.50", 1)
+    put(root, "CPV", "pace_01082025.txt", text)
+    staging.stage_incremental(ledger, str(root), SITES, layouts=DAILY)
+    assert rows(ledger.table("load_rejects"), "PROPERTY", "FILE_NAME", "COLUMN", "TEXT") == [
+        ("CPV", "pace_01082025.txt", "DEP", "x"),
+        ("CPV", "pace_01082025.txt", "NO_ROOMS", "2.7"),
+        ("CPV", "pace_01082025.txt", "ROOM_REVENUE", "1,234.50"),
+    ]
+    assert statuses(ledger) == [("pace_01082025.txt", "PARTIAL", "3 cells rejected")]
+    # The file counts as taken in; loading the day anew replaces its rejects.
+    put(root, "CPV", "pace_x_01082025.txt", opera_text(NIGHT))
+    staging.stage_incremental(ledger, str(root), SITES, layouts=DAILY)
+    assert ledger.table("load_rejects").isEmpty()
+
+
+def test_the_header_is_the_first_line(spark, ledger, tmp_path):
+    root = tmp_path / "in"
+    put(root, "CPV", "pace_01082025.txt", "a title\r\n" + opera_text(NIGHT))
+    put(root, "CPV", "pace_02082025.txt", opera_text(NIGHT))
+    staging.stage_incremental(ledger, str(root), SITES, layouts=DAILY)
+    assert [r[2:] for r in counts(ledger)] == [("pace_02082025.txt", 1)]
+    assert statuses(ledger)[0] == ("pace_01082025.txt", "FAILED", "no header row")
+
+
+def test_odd_names_are_read_as_they_are(spark, ledger, tmp_path):
+    root = tmp_path / "in"
+    names = ["pace_[a]_01082025.txt", "pace {b}_02082025.txt", "pace*_03082025.txt", "pace?_04082025.txt", "pace%20_05082025.txt", "pa\\ce_06082025.txt"]
+    for name in names:
+        put(root, "CPV", name, opera_text(NIGHT))
+    put(root, "CPV", "pace_99999999.txt", opera_text(NIGHT))
+    for _ in range(2):
+        staging.stage_incremental(ledger, str(root), SITES, layouts=DAILY)
+        assert sorted(r[2] for r in counts(ledger)) == sorted(names)
+        assert [s for s in statuses(ledger) if s[1] == "FAILED"] == [("pace_99999999.txt", "FAILED", "no report day in the name")]
+
+
+def test_a_snapshot_in_parts(spark, ledger, tmp_path):
+    root = tmp_path / "in"
+    for n in range(3):
+        put(root, "CPV/NAME=pace_01082025.txt", f"part-{n}.csv", opera_text(*[NIGHT] * (n + 1)))
+    put(root, "CPV/NAME=pace_02082025.txt", "part-0.csv", opera_text(NIGHT))
+    put(root, "CPV/NAME=pace_02082025.txt", "part-1.csv", opera_text(NIGHT, drop=("RTC",)))
+    for folder in ("pace_01082025.txt", "pace_02082025.txt"):
+        (root / "FOLDER=CPV").mkdir(exist_ok=True)
+        (root / "CPV" / f"NAME={folder}").rename(root / "FOLDER=CPV" / f"NAME={folder}")
+    staging.stage_incremental(ledger, str(root), SITES, layouts=DAILY)
+    assert [r[2:] for r in counts(ledger)] == [("pace_01082025.txt", 6)]
+    assert statuses(ledger) == [("pace_01082025.txt", "LOADED", None), ("pace_02082025.txt", "FAILED", "missing columns: RTC")]
+
+
+def test_stream_takes_a_mended_file_and_notes_a_late_one(spark, ledger, tmp_path):
+    root, checkpoint = tmp_path / "in", str(tmp_path / "checkpoint")
+    put(root, "CPV", "pace_b_01082025.txt", opera_text(NIGHT))
+    put(root, "CPV", "pace_02082025.txt", opera_text(NIGHT, drop=("RTC",)))
+    stage_stream(ledger, str(root), checkpoint, SITES, DAILY).awaitTermination()
+    assert [r[2] for r in counts(ledger)] == ["pace_b_01082025.txt"]
+    put(root, "CPV", "pace_02082025.txt", opera_text(NIGHT))
+    put(root, "SRC", "Pace_Date01082025_0930.xls", smile_text(SMILE_HL_HEADERS, ("2025-08-01", "2025-08-01", 1)))
+    stage_stream(ledger, str(root), checkpoint, SITES, DAILY).awaitTermination()
+    assert [r[2] for r in counts(ledger)] == ["pace_b_01082025.txt", "pace_02082025.txt"]
+    put(root, "SRC", "Pace_Date01082025_0800.xls", smile_text(SMILE_HL_HEADERS, ("2025-08-01", "2025-08-01", 1)))
+    stage_stream(ledger, str(root), checkpoint, SITES, DAILY).awaitTermination()
+    assert ("Pace_Date01082025_0800.xls", "SKIPPED", "a newer snapshot of the day is loaded") in statuses(ledger)
+
+
 def test_stream_refreshes_the_marts(spark, ledger, tmp_path):
     root = tmp_path / "in"
     put(root, "SRC", "Pace_Date02082025_0930.xls", smile_text(SMILE_HL_HEADERS, ("2025-08-02", "2025-08-02", 4), ("2025-08-01", "2025-08-01", 2)))
@@ -200,7 +301,7 @@ def test_stream_refreshes_the_marts(spark, ledger, tmp_path):
 def test_sample_workbook(spark, ledger, tmp_path):
     cells = {"Arrival": "45329.0", "Deprature": "45330", "Staying": "45329.5", "Creation Date": "45300", "Property": "SRC", "N of Room": "2.0"}
     put(tmp_path, "s", "sample.csv", ",".join(SAMPLE_HEADERS) + "\n" + ",".join(cells.get(h, "") for h in SAMPLE_HEADERS) + "\n")
-    staging.load_sample(ledger, str(tmp_path / "s" / "sample.csv"), decoder=csv_decoder)
+    staging.load_sample(ledger, str(tmp_path / "s" / "sample.csv"))
     got = ledger.table("booking_pace_sample_data")
     assert rows(got, "REPORT_DATE", "STAY_MONTH", "STAYING", "N_OF_ROOM") == [(date(2023, 5, 1), "2024-02", date(2024, 2, 7), 2)]
 

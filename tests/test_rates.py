@@ -42,6 +42,28 @@ def test_rates_of_a_day_are_replaced_pair_by_pair(spark, ledger, tmp_path):
     assert len(rates(ledger)) == 3
 
 
+def test_pairs_that_a_payload_lacks_are_gone(spark, ledger, tmp_path):
+    path = tmp_path / "lak.html"
+
+    def load(page):
+        path.write_text(page)
+        run(parser().parse_args(["-t", "get_exchange_rate", "--database", ledger.database, "--root", str(path), "-d", "26072025", "--currency", "LAK"]), spark)
+        return [r[1:3] for r in rates(ledger)]
+
+    assert load(PAGE) == [("USD", "LAK"), ("VND", "LAK")]
+    assert load(PAGE.replace("VND/LAK", "VND")) == [("USD", "LAK")]
+    assert load("<html>closed</html>") == []
+
+
+def test_the_audit_keeps_every_line(spark, ledger):
+    from booking import at, day, smile
+
+    ledger.append("stg_smile", smile(spark, *((f"P{n}", day(2), day(2), 1, at(2)) for n in range(1_200))))
+    for _ in range(2):
+        run(parser().parse_args(["-t", "audit", "--as-of", "2025-08-02", "--database", ledger.database]), spark)
+        assert ledger.table("audit").count() == 1_200
+
+
 def test_command_line_runs_the_marts(spark, ledger):
     from booking import at, day, smile
 

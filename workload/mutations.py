@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stayledger.operators import changes, filters
 from stayledger.operators.marts import pace_actual
 from stayledger.operators.snapshots import latest_per_day, with_smile_name
-from stayledger.plans.rates import lak_rates, replace_rates, usd_rates
+from stayledger.plans.rates import USD_PAIRS, lak_rates, replace_rates, usd_rates
 from stayledger.session import scratch_path
 from stayledger.sinks.manifest import manifest_rows
 from stayledger.sinks.tables import TABLES, Ledger
@@ -188,7 +188,8 @@ def sink_replace_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     usd = usd_rates(landed_json(spark, sf_dir))
     zero = F.lit(0).cast("decimal(18,4)")
     table = lak_rates(html_pages(spark, sf_dir)).unionByName(usd.withColumn("BUY_CASH", zero))
-    return replace_rates(table, usd.filter(F.col("REPORT_DATE") >= F.lit(date(2024, 1, 15))))
+    late = usd.filter(F.col("REPORT_DATE") >= F.lit(date(2024, 1, 15)))
+    return replace_rates(table, late, late, USD_PAIRS)
 
 
 def landed_json(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stayledger.functions import dates, fx, lead, money
 from stayledger.operators import canonical, filters, snapshots
 from stayledger.plans.rates import usd_rates
+from stayledger.plans.staging import stamped
 from stayledger.schemas import SMILE_HL_HEADERS, SMILE_PQ_HEADERS, required
 from workload import views
 from workload.mutations import RATES_SQL, landed_json
@@ -43,18 +44,20 @@ def prj_required_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     "prj_provenance",
     """SELECT CAST(e.ts AS DATE) AS REPORT_DATE, e.event_type AS PROPERTY, e.ts AS CREATED_AT, e.ts AS MODIFIED_AT,
               'Pace ' || e.event_type || ' Date' || strftime(e.ts, '%d%m%Y_%H%M') || '.xls' AS FILE_NAME,
-              l.l_orderkey AS FOLIONUM, CAST(l.l_quantity AS INTEGER) AS N_OF_ROOM
-       FROM lineitem l JOIN events e ON l.l_orderkey = e.event_id""",
+              CAST(l.l_orderkey AS INTEGER) AS FOLIONUM, CAST(l.l_quantity AS INTEGER) AS N_OF_ROOM
+       FROM lineitem l JOIN events e ON l.l_orderkey % (SELECT COUNT(*) FROM events) = e.event_id""",
 )
 def prj_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a file stamped with the file's property, day, times and name."""
-    rows = views.table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("FOLIONUM"), F.col("l_quantity").cast("int").alias("N_OF_ROOM")
-    )
+    """Every row dealt to a file and stamped with the file's property, day, times and name."""
     files = snapshots.with_smile_name(views.files(spark, sf_dir))
-    return rows.join(files, F.col("FOLIONUM") == F.col("FILE_ID")).select(
-        "REPORT_DATE", "PROPERTY", "CREATED_AT", "MODIFIED_AT", F.col("NAME").alias("FILE_NAME"), "FOLIONUM", "N_OF_ROOM"
+    rows = views.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") % files.count()).cast("string").alias("URI"),
+        F.col("l_orderkey").alias("FOLIONUM"),
+        F.col("l_quantity").alias("N_OF_ROOM"),
     )
+    named = files.withColumn("URI", F.col("FILE_ID").cast("string"))
+    stamp = {"REPORT_DATE": "date", "PROPERTY": "string", "CREATED_AT": "timestamp_ntz", "MODIFIED_AT": "timestamp_ntz", "FILE_NAME": "string"}
+    return stamped(rows, named, stamp | {"FOLIONUM": "int", "N_OF_ROOM": "int"})
 
 
 @query("prj_canonical_smile", f"SELECT {DETAIL_COLS} FROM canon")
@@ -241,6 +244,7 @@ def fn_lead_days_clamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lead_rows(spark, sf_dir).withColumn("DAYS", dates.lead_days_clamped())
 
 
+# Upper bounds and labels of the superseded lead buckets.
 _LEGACY = [(7, "1 WEEK"), (14, "2 WEEKS"), (21, "3 WEEKS"), (30, "4 WEEKS"), (60, "1-2 MONTHS"), (90, "2-3 MONTHS"),
            (180, "3-6 MONTHS"), (365, "6-12 MONTHS")]
 LEGACY_LABEL = "CASE " + " ".join(f"WHEN {_LEAD} <= {n} THEN '{label}'" for n, label in _LEGACY) + " ELSE '> 12 MONTHS' END"

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger.functions.money import booking_flag
 from stayledger.operators import audits, canonical, changes, filters, marts, snapshots
 from stayledger.operators.lead_windows import STRICT, add_lead_window
+from stayledger.plans.staging import Layout, from_delimited
+from stayledger.session import scratch_path
+from stayledger.sources.files import list_files
 from workload import views
 from workload.registry import query
 from workload.sql_views import DETAIL_COLS, HIST_COLS, REPORT_COLS, actual_sql, report_sql
@@ -70,12 +73,8 @@ def join_restrict_to_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _GAP_DAYS_SQL = """
-    SELECT s.PROPERTY, s.REPORT_DATE FROM (
-        SELECT DISTINCT PROPERTY, REPORT_DATE FROM canon
-        WHERE REPORT_DATE >= DATE '2024-01-02' AND REPORT_DATE <= DATE '2024-01-08') s
-    LEFT JOIN (SELECT DISTINCT PROPERTY, STAYING FROM hist) h
-      ON s.PROPERTY = h.PROPERTY AND s.REPORT_DATE - 1 = h.STAYING
-    WHERE h.STAYING IS NULL
+    SELECT PROPERTY, REPORT_DATE FROM canon WHERE REPORT_DATE BETWEEN DATE '2024-01-02' AND DATE '2024-01-08'
+    EXCEPT SELECT PROPERTY, STAYING + 1 FROM hist
 """
 
 
@@ -91,10 +90,7 @@ def join_gap_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "join_gap_actual",
-    """SELECT s.PROPERTY, s.STAYING FROM (SELECT DISTINCT PROPERTY, STAYING FROM hist) s
-       LEFT JOIN (SELECT DISTINCT PROPERTY, STAYING_DATE FROM actual_old) t
-         ON s.PROPERTY = t.PROPERTY AND s.STAYING = t.STAYING_DATE
-       WHERE t.STAYING_DATE IS NULL""",
+    "SELECT PROPERTY, STAYING FROM hist EXCEPT SELECT PROPERTY, STAYING_DATE FROM actual_old",
 )
 def join_gap_actual(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = views.hist(views.canon(spark, sf_dir))
@@ -309,18 +305,28 @@ def set_union_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "set_concat_files",
-    """SELECT o_orderkey AS ID, CAST(o_orderdate AS DATE) AS DAY, o_orderstatus AS STATUS, CAST(NULL AS VARCHAR) AS KIND FROM orders
-       UNION ALL SELECT event_id, CAST(ts AS DATE), NULL, event_type FROM events""",
+    """SELECT 'a' || CAST(o_orderkey % 3 AS VARCHAR) AS SRC, CAST(o_orderkey AS INTEGER) AS FOLIO, CAST(o_orderdate AS DATE) AS DAY,
+           o_orderstatus AS KIND FROM orders
+       UNION ALL SELECT 'b' || CAST(event_id % 2 AS VARCHAR), CAST(event_id AS INTEGER), CAST(ts AS DATE), event_type FROM events""",
 )
 def set_concat_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames of different columns put under each other by name."""
+    """Delimited files of two column orders, one with a column nobody asked for, read as one frame by header."""
+    root = scratch_path(spark, "concat")
+
+    def part(letter: str, n: int) -> Column:
+        return F.concat(F.lit(letter), (F.col("FOLIO") % n).cast("string")).alias("FOLDER")
+
     orders = views.table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("ID"), F.to_date("o_orderdate").alias("DAY"), F.col("o_orderstatus").alias("STATUS")
+        F.col("o_orderkey").alias("FOLIO"), F.to_date("o_orderdate").alias("DAY"), F.col("o_orderstatus").alias("KIND")
     )
     events = views.table(spark, sf_dir, "events").select(
-        F.to_date("ts").alias("DAY"), F.col("event_type").alias("KIND"), F.col("event_id").alias("ID")
+        F.lit("x").alias("OTHER"), F.col("event_type").alias("KIND"), F.to_date("ts").alias("DAY"), F.col("event_id").alias("FOLIO")
     )
-    return orders.unionByName(events, allowMissingColumns=True)
+    for rows, letter, n in ((orders, "a", 3), (events, "b", 2)):
+        rows.select("*", part(letter, n)).write.mode("append").partitionBy("FOLDER").csv(root, header=True, sep="\t")
+    layout = Layout("", {}, {"FOLIO": "int", "DAY": "date", "KIND": "string"}, sep="\t")
+    files = list_files(spark, root).filter(F.col("PATH").endswith(".csv"))
+    return from_delimited(files, layout).rows.join(files.select("URI", F.col("FOLDER").alias("SRC")), "URI").drop("URI", "BAD_CELLS")
 
 
 @query(

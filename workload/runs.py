@@ -17,13 +17,13 @@ from stayledger.operators.marts import pace_report, pace_report_legacy
 from stayledger.plans import ledger as stored_runs
 from stayledger.plans import marts
 from stayledger.plans.audit import audit_summary
-from stayledger.plans.rates import lak_rates, usd_rates
+from stayledger.plans.rates import LAK_PAIRS, USD_PAIRS, lak_rates, refresh_rates, usd_rates
 from workload import views
 from workload.mutations import RATES_SQL, landed_json, stored
 from workload.projections import LEGACY_LABEL, LEGACY_SORT
 from workload.registry import query
 from workload.scans import html_pages
-from workload.sql_views import ACTUAL_COLS, DETAIL_COLS, HIST_COLS, REPORT_COLS, actual_sql, report_sql
+from workload.sql_views import ACTUAL_COLS, DETAIL_COLS, HIST_COLS, REPORT_COLS, actual_sql, changed_sql, report_sql
 
 
 def _tagged(**frames: DataFrame) -> DataFrame:
@@ -48,14 +48,7 @@ _BOTH = """
                WHERE STAYING = REPORT_DATE - 1 AND date_part('day', STAYING) % 2 = 1)
 """
 # Change list with the last loaded day as "today", so that last night changes too.
-_KEYS = """
-    keys AS (
-        SELECT s.PROPERTY, s.REPORT_DATE
-        FROM (SELECT PROPERTY, REPORT_DATE, MAX(MODIFIED_AT) AS M FROM canon_both GROUP BY 1, 2) s
-        LEFT JOIN (SELECT PROPERTY, REPORT_DATE, MAX(MODIFIED_AT) AS M FROM b_detail_old GROUP BY 1, 2) t
-          ON s.PROPERTY = t.PROPERTY AND s.REPORT_DATE = t.REPORT_DATE
-        WHERE t.M IS NULL OR s.M > t.M)
-"""
+_KEYS = f"keys AS ({changed_sql('canon_both', 'b_detail_old')})"
 _TODAY = "DATE '2024-01-09'"
 TODAY = views.FIRST_DAY + timedelta(days=8)
 
@@ -118,11 +111,7 @@ def pipe_report_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "pipe_report_incremental",
     f"""WITH old_report AS ({report_sql('detail_old')}),
-        stale AS (SELECT s.PROPERTY, s.REPORT_DATE
-            FROM (SELECT PROPERTY, REPORT_DATE, MAX(MODIFIED_AT) AS M FROM detail GROUP BY 1, 2) s
-            LEFT JOIN (SELECT PROPERTY, REPORT_DATE, MAX(MODIFIED_AT) AS M FROM old_report GROUP BY 1, 2) t
-              ON s.PROPERTY = t.PROPERTY AND s.REPORT_DATE = t.REPORT_DATE
-            WHERE t.M IS NULL OR s.M > t.M),
+        stale AS ({changed_sql('detail', 'old_report')}),
         kept AS (SELECT * FROM actual_old WHERE STAYING_DATE IS DISTINCT FROM DATE '2024-01-05')
         SELECT 'report' AS MART, {REPORT_COLS} FROM old_report r WHERE NOT EXISTS (
             SELECT 1 FROM stale k WHERE k.PROPERTY = r.PROPERTY AND k.REPORT_DATE = r.REPORT_DATE)
@@ -245,17 +234,27 @@ def pipe_restore_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("pipe_fx_usd", f"WITH {RATES_SQL} SELECT * FROM fresh")
 def pipe_fx_usd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ledger = stored(spark, "exchange_rate")
-    fresh = usd_rates(landed_json(spark, sf_dir))
-    ledger.append("exchange_rate", fresh)
-    # The day's pairs are replaced, so loading them again changes nothing.
-    ledger.replace_keys("exchange_rate", fresh, fresh)
+    """Loaded twice: the days' pair is replaced, so the second run changes nothing."""
+    ledger, landed = stored(spark, "exchange_rate"), landed_json(spark, sf_dir)
+    for _ in range(2):
+        refresh_rates(ledger, usd_rates(landed), landed, USD_PAIRS)
     return ledger.table("exchange_rate")
 
 
-@query("pipe_fx_lak", f"WITH {RATES_SQL} SELECT * FROM lak")
+# Later pages lack a pair on every third day and have no rates at all on every fifth.
+_LATE_LAK = "date_part('day', REPORT_DATE) % 5 > 0 AND (date_part('day', REPORT_DATE) % 3 > 0 OR FROM_CURRENCY_CODE = 'USD')"
+
+
+@query("pipe_fx_lak", f"WITH {RATES_SQL} SELECT * FROM lak WHERE {_LATE_LAK}")
 def pipe_fx_lak(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lak_rates(html_pages(spark, sf_dir))
+    """Loaded twice; what the second pages lack is gone."""
+    ledger, pages = stored(spark, "exchange_rate"), html_pages(spark, sf_dir)
+    refresh_rates(ledger, lak_rates(pages), pages, LAK_PAIRS)
+    day = F.dayofmonth("REPORT_DATE")
+    html = F.when(day % 5 == 0, "<html>closed</html>").when(day % 3 == 0, F.replace("HTML", F.lit("VND/LAK"), F.lit("LAK")))
+    later = pages.withColumn("HTML", F.coalesce(html, "HTML"))
+    refresh_rates(ledger, lak_rates(later), later, LAK_PAIRS)
+    return ledger.table("exchange_rate")
 
 
 @query(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,15 +11,16 @@ from stayledger.dimensions import SITES, property_dim, site_registry, window_dim
 from stayledger.functions.dates import lead_days_clamped
 from stayledger.functions.lead import window_case
 from stayledger.operators import filters, snapshots
-from stayledger.plans.staging import OPERA_DAILY_LAYOUT, SMILE_HL_LAYOUT, from_binary, from_delimited
+from stayledger.plans.staging import OPERA_DAILY_LAYOUT, SMILE_HL_LAYOUT, from_delimited
 from stayledger.schemas import OPERA_FILE, SMILE_HL_HEADERS
 from stayledger.session import scratch_path
+from stayledger.sinks.tables import TABLES, Ledger
 from stayledger.sources import rates
 from stayledger.sources.files import list_files
-from stayledger.sources.workbooks import csv_decoder
 from workload import views
 from workload.registry import query
 
+# The sites and the properties, as the dimensions must have them.
 _SITE_ROWS = """
   ('HLP','Ha Long Plaza Hotel','HLP','SMILE HL',1),('SRC','Syrena Cruises','SRC','SMILE HL',2),
   ('PHPQ','Park Hyatt Phu Quoc Residences','PHPQ','Opera',4),
@@ -103,9 +104,28 @@ def src_property_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.join(_rows_by_site(spark, sf_dir), "ORDER_INDEX", "left").orderBy("ORDER_INDEX")
 
 
-@query("src_list_files")
+@query(
+    "src_list_files",
+    """SELECT DISTINCT PROPERTY AS FOLDER, strftime(MODIFIED_AT, '%Y%m%d') || '.txt' AS NAME, TRUE AS HAS_CONTENT FROM files""",
+)
 def src_list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return list_files(spark, sf_dir)
+    """A file per event type and day, below a folder per type; large ones in parts."""
+    root = scratch_path(spark, "listing")
+    name = F.concat(F.date_format("MODIFIED_AT", "yyyyMMdd"), F.lit(".txt"))
+    rows = views.files(spark, sf_dir).select(F.col("PROPERTY").alias("FOLDER"), name.alias("NAME"), F.col("FILE_ID").cast("string"))
+    rows.hint("rebalance", "FOLDER", "NAME").write.partitionBy("FOLDER", "NAME").text(root)
+    listed = list_files(spark, root).filter(F.col("PATH").endswith(".txt"))
+    return listed.groupBy("FOLDER", "NAME").agg((F.min("SIZE") > 0).alias("HAS_CONTENT"))
+
+
+@query(
+    "src_unnamed_files",
+    """SELECT PROPERTY, FILE_ID FROM files WHERE FILE_ID % 50 = 0""",
+)
+def src_unnamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with impossible days, which are no history files."""
+    named = snapshots.with_smile_name(_smile_names(spark, sf_dir))
+    return snapshots.unnamed_files(named).select("PROPERTY", "FILE_ID")
 
 
 # Every fiftieth event has a name with an impossible date, every seventh a history name.
@@ -212,7 +232,7 @@ def src_tsv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = views.opera_rows(views.booking_base(spark, sf_dir)).select(*reversed(other), *day)
     rows.write.csv(folder, sep="\t", header=True)
     files = list_files(spark, folder).filter(F.col("NAME").endswith(".csv"))
-    return from_delimited(files, OPERA_DAILY_LAYOUT, multiline=False).rows.drop("URI")
+    return from_delimited(files, OPERA_DAILY_LAYOUT).rows.drop("URI", "BAD_CELLS")
 
 
 _SMILE_SQL = """
@@ -228,14 +248,13 @@ _SMILE_SQL = """
 
 @query("src_excel", _SMILE_SQL)
 def src_excel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SMILE rows written as files under their headers and decoded file by file."""
-    folder = scratch_path(spark, "workbooks")
+    """SMILE rows written as text under the headers of their workbooks and read back by header."""
+    folder = scratch_path(spark, "sheets")
     rows = views.smile_rows(views.booking_base(spark, sf_dir))
     named = rows.select(*(F.col(column).alias(header) for header, column in SMILE_HL_HEADERS.items()))
-    # One file stands for one workbook, which has at most 65,536 rows.
-    named.write.option("maxRecordsPerFile", 65_535).csv(folder, header=True)
-    binary = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    return from_binary(binary, replace(SMILE_HL_LAYOUT, decoder=csv_decoder)).rows.drop("URI")
+    named.write.csv(folder, header=True)
+    files = list_files(spark, folder).filter(F.col("NAME").endswith(".csv"))
+    return from_delimited(files, SMILE_HL_LAYOUT.delimited()).rows.drop("URI", "BAD_CELLS")
 
 
 def _payload_number(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,6 +340,9 @@ def src_fx_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""SELECT DISTINCT STAYING FROM hist WHERE STAYING IS NOT NULL AND PROPERTY = '{views.LOADED_PROPERTY}'""",
 )
 def src_table_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = views.booking_base(spark, sf_dir, "PROPERTY", "REPORT_DATE", "STAYING")
-    known = views.hist(base).filter(F.col("STAYING").isNotNull())
+    """Nights of one property in the stored history."""
+    ledger = Ledger(spark, "w_" + uuid.uuid4().hex)
+    ledger.create(scratch_path(spark, "tables"), {"booking_pace_history": TABLES["booking_pace_history"]})
+    ledger.append("booking_pace_history", views.hist(views.canon(spark, sf_dir)))
+    known = ledger.table("booking_pace_history").filter(F.col("STAYING").isNotNull())
     return filters.in_list(known, "PROPERTY", [views.LOADED_PROPERTY]).select("STAYING").distinct()
