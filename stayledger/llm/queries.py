@@ -15,6 +15,7 @@ from stayledger.llm import (
     secrets,
     severity,
     simhash,
+    twins,
 )
 from stayledger.llm.common import listed, read
 from stayledger.llm.registry import query
@@ -42,7 +43,7 @@ def op2_simhash(spark, sf_dir):
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
-@query("op3_decontamination")
+@query("op3_decontamination", twins.OP3)
 def op3_decontamination(spark, sf_dir):
     found = decontaminate.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     hit = decontaminate.n_hit()
@@ -56,7 +57,7 @@ def op3_decontamination(spark, sf_dir):
     )
 
 
-@query("op4_longest_previous")
+@query("op4_longest_previous", twins.OP4)
 def op4_longest_previous(spark, sf_dir):
     found = longest_previous.remove_repeats(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -74,7 +75,7 @@ def op6_html_blocks(spark, sf_dir):
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
-@query("op7_secrets")
+@query("op7_secrets", twins.OP7)
 def op7_secrets(spark, sf_dir):
     found = secrets.findings(read(spark, sf_dir, "documents"))[0]
     text = listed(F.col("spans"))
@@ -86,7 +87,7 @@ def op8_rule_ensemble(spark, sf_dir):
     return rule_ensemble.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
-@query("op9_line_rules")
+@query("op9_line_rules", twins.OP9)
 def op9_line_rules(spark, sf_dir):
     return line_rules.judge(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
