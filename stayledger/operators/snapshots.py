@@ -6,7 +6,7 @@ REPORT_DATE and REPORT_AT.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # File-name patterns, the stamp being ddMMyyyy and, for SMILE, _HHmm.
@@ -19,18 +19,22 @@ HISTORY_MARK = "_history"
 def _stamp_time(stamp: Column) -> Column:
     """Timestamp of a ddMMyyyy or ddMMyyyy_HHmm stamp; NULL when it is empty or no such day exists."""
 
-    def part(start: int, length: int) -> Column:
-        return F.substring(stamp, start, length).try_cast("int")
-
-    zero = F.lit(0)
-    return F.try_make_timestamp_ntz(
-        part(5, 4),
-        part(3, 2),
-        part(1, 2),
-        F.coalesce(part(10, 2), zero),
-        F.coalesce(part(12, 2), zero),
-        F.lit(0).cast("decimal(16,6)"),
-    )
+    def made(text: Column) -> Column:
+        def part(start: int, length: int) -> Column:
+            return F.substring(text, start, length).try_cast("int")
+
+        zero = F.lit(0)
+        return F.try_make_timestamp_ntz(
+            part(5, 4),
+            part(3, 2),
+            part(1, 2),
+            F.coalesce(part(10, 2), zero),
+            F.coalesce(part(12, 2), zero),
+            F.lit(0).cast("decimal(16,6)"),
+        )
+
+    # The name is searched once, however often its parts are mentioned.
+    return F.get(F.transform(F.array(stamp), made), F.lit(0))
 
 
 def is_history_name(name: Column) -> Column:
@@ -64,12 +68,13 @@ def latest_per_day(files: DataFrame, loaded: DataFrame | None = None) -> DataFra
 
     With ``loaded`` (files already in the manifest) a late file that is older
     than the loaded one of its day no longer replaces it."""
-    order = F.struct("REPORT_AT", "MODIFIED_AT", "NAME")
+    order = ("REPORT_AT", "MODIFIED_AT", "NAME")
+    place = Window.partitionBy("PROPERTY", "REPORT_DATE").orderBy(*(F.col(c).desc() for c in order))
     newest = (
         files.filter(F.col("REPORT_DATE").isNotNull())
-        .groupBy("PROPERTY", "REPORT_DATE")
-        .agg(F.max_by(F.struct(*files.columns), order).alias("f"))
-        .select("f.*")
+        .withColumn("_place", F.row_number().over(place))
+        .filter(F.col("_place") == 1)
+        .drop("_place")
     )
     if loaded is None:
         return newest

@@ -20,7 +20,7 @@ from stayledger.plans import marts
 from stayledger.plans.marts import Windows
 from stayledger.schemas import HISTORY, conform
 from stayledger.session import pin, pin_keys
-from stayledger.sinks.tables import Ledger
+from stayledger.sinks.tables import Ledger, listed_days
 
 DETAIL, HISTORY_TABLE = "booking_pace_detail", "booking_pace_history"
 REPORT, ACTUAL = "booking_pace_report", "booking_pace_actual"
@@ -31,11 +31,12 @@ def _canon(ledger: Ledger) -> DataFrame:
 
 
 def _within(df: DataFrame, keys: DataFrame, day: str) -> DataFrame:
-    """Rows of the pinned keys; the keys' first and last day also prune the scan's partitions."""
-    first, last = keys.agg(F.min(day), F.max(day)).first()
-    if first is None:
+    """Rows of the pinned keys; their days, of which the calendar has few, prune the scan's partitions
+    however many keys there are and whichever way they are joined."""
+    days = listed_days(keys.select(day))
+    if not days:
         return df.limit(0)
-    return changes.restrict_to_keys(df.filter(F.col(day).between(F.lit(first), F.lit(last))), keys, ("PROPERTY", day))
+    return changes.restrict_to_keys(df.filter(F.col(day).isin(days)), keys, ("PROPERTY", day))
 
 
 def _as_actual_keys(keys: DataFrame) -> DataFrame:
@@ -94,11 +95,14 @@ def restore(ledger: Ledger, start: date, end: date, windows: Windows = LEAD_WIND
     """Fill the nights history missed from the snapshots of a range, then the nights actual lacks."""
     canon = filters.reported_between(_canon(ledger), start, end)
     nights = marts.as_history(filters.past_night(canon))
-    gaps = pin_keys(changes.missing_keys(nights, ledger.table(HISTORY_TABLE), changes.NIGHT_KEY))
+    # Only the range's nights of history and actual are looked at.
+    had = filters.night_reported_between(ledger.table(HISTORY_TABLE), start, end)
+    gaps = pin_keys(changes.missing_keys(nights, had, changes.NIGHT_KEY))
     ledger.replace_keys(HISTORY_TABLE, gaps, _within(nights, gaps, "STAYING"))
 
     history = filters.night_reported_between(ledger.table(HISTORY_TABLE), start, end)
-    missing = pin_keys(changes.actual_gaps(history, ledger.table(ACTUAL)))
+    actual = filters.night_reported_between(ledger.table(ACTUAL), start, end, "STAYING_DATE")
+    missing = pin_keys(changes.actual_gaps(history, actual))
     fresh = pace_actual(_within(history, missing, "STAYING"), windows, mode)
     ledger.replace_keys(ACTUAL, _as_actual_keys(missing), fresh, present=_as_actual_keys(missing))
 

@@ -118,11 +118,11 @@ class Ledger:
             touched = keys.select(spec.day)
         else:
             touched = stored.join(keys, list(on), "left_semi").select(spec.day).union(new_days)
-        days = _days(touched)
+        days = listed_days(touched)
         if not days:
             return
         kept = stored.filter(F.col(spec.day).isin(days)).join(keys, list(on), "left_anti")
-        filled = _days(kept.select(spec.day).union(new_days))
+        filled = listed_days(kept.select(spec.day).union(new_days))
         merged = schemas.conform(kept, spec.columns).unionByName(schemas.conform(rows, spec.columns))
         self._insert(table, merged, overwrite="dynamic")
         self._drop_days(table, sorted(set(days) - set(filled)))
@@ -152,6 +152,6 @@ class Ledger:
             placed.write.insertInto(self.name(table), overwrite=overwrite is not None)
 
 
-def _days(df: DataFrame) -> list[date]:
+def listed_days(df: DataFrame) -> list[date]:
     """Distinct known days of a one-column frame: at most one value per calendar day."""
     return [row[0] for row in df.dropna().distinct().collect()]

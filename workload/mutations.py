@@ -12,7 +12,7 @@ from stayledger.operators import changes, filters
 from stayledger.operators.marts import pace_actual
 from stayledger.operators.snapshots import latest_per_day, with_smile_name
 from stayledger.plans.rates import USD_PAIRS, lak_rates, replace_rates, usd_rates
-from stayledger.session import scratch_path
+from stayledger.session import pin_keys, scratch_path
 from stayledger.sinks.manifest import manifest_rows
 from stayledger.sinks.tables import TABLES, Ledger
 from workload import views
@@ -97,7 +97,7 @@ def sink_replace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     canon = views.canon(spark, sf_dir)
     detail = filters.otb(canon)
     old = views.detail_old(detail)
-    keys = changes.changed_keys(canon, old)
+    keys = pin_keys(changes.changed_keys(canon, old))
     return changes.replace_keys(old, keys, changes.restrict_to_keys(detail, keys))
 
 
