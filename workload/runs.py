@@ -18,6 +18,7 @@ from stayledger.plans import ledger as stored_runs
 from stayledger.plans import marts
 from stayledger.plans.audit import audit_summary
 from stayledger.plans.rates import LAK_PAIRS, USD_PAIRS, lak_rates, refresh_rates, usd_rates
+from stayledger.sinks.tables import Ledger
 from workload import views
 from workload.mutations import RATES_SQL, landed_json, stored
 from workload.projections import LEGACY_LABEL, LEGACY_SORT
@@ -292,22 +293,76 @@ def pipe_run_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(report=made.report, actual=made.actual)
 
 
-@query("pipe_run_incremental_stored", _RUN_INCREMENTAL_SQL)
-def pipe_run_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same run on stored tables, where only changed days are written."""
-    ledger = stored(
-        spark,
-        "stg_smile",
-        "stg_opera",
-        "booking_pace_detail",
-        "booking_pace_history",
-        "booking_pace_report",
-        "booking_pace_actual",
-    )
+_TABLES = (
+    "stg_smile",
+    "stg_opera",
+    "booking_pace_detail",
+    "booking_pace_history",
+    "booking_pace_report",
+    "booking_pace_actual",
+)
+
+
+def _staged(spark: SparkSession, sf_dir: str) -> tuple[Ledger, DataFrame]:
+    """Fresh tables with staging filled, and its rows in the canonical shape."""
+    ledger = stored(spark, *_TABLES)
     smile, opera = views.staging(spark, sf_dir)
     ledger.append("stg_smile", smile)
     ledger.append("stg_opera", opera)
-    canon = union_layouts(ledger.table("stg_smile"), ledger.table("stg_opera"))
+    return ledger, union_layouts(ledger.table("stg_smile"), ledger.table("stg_opera"))
+
+
+@query("pipe_detail_full_stored", like="pipe_detail_full")
+def pipe_detail_full_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rebuild on stored tables, over what an earlier one left."""
+    ledger, canon = _staged(spark, sf_dir)
+    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)))
+    stored_runs.refresh_detail_full(ledger, views.AS_OF)
+    return _tagged(detail=ledger.table("booking_pace_detail"), history=ledger.table("booking_pace_history"))
+
+
+@query("pipe_report_full_stored", like="pipe_report_full")
+def pipe_report_full_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger, canon = stored(spark, *_TABLES), views.canon(spark, sf_dir)
+    ledger.append("booking_pace_detail", filters.otb(canon))
+    ledger.append("booking_pace_history", views.hist(canon))
+    stored_runs.refresh_report_full(ledger)
+    return _tagged(report=ledger.table("booking_pace_report"), actual=ledger.table("booking_pace_actual"))
+
+
+@query("pipe_restore_history_stored", like="pipe_restore_history")
+def pipe_restore_history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger, canon = _staged(spark, sf_dir)
+    ledger.append("booking_pace_history", views.hist(canon))
+    ledger.append("booking_pace_actual", views.actual_old(ledger.table("booking_pace_history"), "strict"))
+    stored_runs.restore(ledger, *views.RESTORE)
+    return _tagged(history=ledger.table("booking_pace_history"), actual=ledger.table("booking_pace_actual"))
+
+
+@query("pipe_history_full_stored", like="pipe_history_full")
+def pipe_history_full_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger, canon = _staged(spark, sf_dir)
+    ledger.append("booking_pace_history", views.hist(canon))
+    ledger.append("booking_pace_actual", views.actual_old(ledger.table("booking_pace_history")))
+    smile = views.smile_rows(views.booking_base(spark, sf_dir)).filter(F.col("PROPERTY") == views.LOADED_PROPERTY)
+    stored_runs.load_history_full(ledger, canonical_history_smile(smile), views.CUTOFF)
+    return _tagged(history=ledger.table("booking_pace_history"), actual=ledger.table("booking_pace_actual"))
+
+
+@query("pipe_history_incremental_stored", like="pipe_history_incremental")
+def pipe_history_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger, canon = _staged(spark, sf_dir)
+    ledger.append("booking_pace_history", views.hist(canon))
+    rows = canonical_history_smile(ledger.table("stg_smile"))
+    rows = rows.unionByName(canonical_history_opera(ledger.table("stg_opera")))
+    stored_runs.load_history_incremental(ledger, rows)
+    return ledger.table("booking_pace_history")
+
+
+@query("pipe_run_incremental_stored", _RUN_INCREMENTAL_SQL)
+def pipe_run_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same run on stored tables, where only changed days are written."""
+    ledger, canon = _staged(spark, sf_dir)
     ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)))
     ledger.append("booking_pace_history", views.hist(canon))
     ledger.append("booking_pace_report", pace_report(ledger.table("booking_pace_detail")))
