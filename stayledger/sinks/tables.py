@@ -78,6 +78,12 @@ class Ledger:
     def table(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def refresh(self) -> None:
+        """Forget cached file listings: another session, such as a stream's, may have written since."""
+        for table in TABLES:
+            if self.spark.catalog.tableExists(self.name(table)):
+                self.spark.catalog.refreshTable(self.name(table))
+
     def create(self, location: str | None = None, tables: dict[str, TableDef] = TABLES) -> None:
         """Create what does not exist yet, below ``location`` when given, else where the catalog puts it."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")

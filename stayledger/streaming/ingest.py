@@ -63,6 +63,7 @@ def stage_stream(
             then(here)
 
     # The stream has a refused file behind it, even when it was mended since.
+    ledger.refresh()
     if retry_failed(ledger, root, sites, layouts) and then is not None:
         then(ledger)
     return (

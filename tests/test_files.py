@@ -280,13 +280,16 @@ def test_stream_takes_a_mended_file_and_notes_a_late_one(spark, ledger, tmp_path
     put(root, "CPV", "pace_b_01082025.txt", opera_text(NIGHT))
     put(root, "CPV", "pace_02082025.txt", opera_text(NIGHT, drop=("RTC",)))
     stage_stream(ledger, str(root), checkpoint, SITES, DAILY).awaitTermination()
+    ledger.refresh()
     assert [r[2] for r in counts(ledger)] == ["pace_b_01082025.txt"]
     put(root, "CPV", "pace_02082025.txt", opera_text(NIGHT))
     put(root, "SRC", "Pace_Date01082025_0930.xls", smile_text(SMILE_HL_HEADERS, ("2025-08-01", "2025-08-01", 1)))
     stage_stream(ledger, str(root), checkpoint, SITES, DAILY).awaitTermination()
+    ledger.refresh()
     assert [r[2] for r in counts(ledger)] == ["pace_b_01082025.txt", "pace_02082025.txt"]
     put(root, "SRC", "Pace_Date01082025_0800.xls", smile_text(SMILE_HL_HEADERS, ("2025-08-01", "2025-08-01", 1)))
     stage_stream(ledger, str(root), checkpoint, SITES, DAILY).awaitTermination()
+    ledger.refresh()
     assert ("Pace_Date01082025_0800.xls", "SKIPPED", "a newer snapshot of the day is loaded") in statuses(ledger)
 
 
