@@ -161,11 +161,12 @@ def _batches(df: DataFrame) -> None:
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids") -> DataFrame:
     """``docs`` with an array column of piece ids."""
     schema, at = _extended(docs, ids, T.ArrayType(T.IntegerType(), False)), docs.columns.index(text)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    v = vocabulary
+    shared = docs.sparkSession.sparkContext.broadcast((v.pieces, v.byte_ids, v.byte_score, v.spelled))
     _batches(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Vocabulary(*shared.value))
         for batch in batches:
             for part in in_chunks([batch], batch.schema.names[at]):
                 packed = encoder.encode(part.column(at).to_pylist())
