@@ -1,7 +1,7 @@
 """Toxicity as an expected severity, by cumulative-link ordinal regression.
 
 P(grade <= k) = sigmoid(cut_k - w . x): one weight vector serves all ordered thresholds.  The grades are 0 for rows
-labelled clean and 1 to 3 for rows labelled toxic, by thirds of their density of marker features.  Features are words and
+labelled clean and 1 to 3 for rows labelled toxic, by thirds of their number of marker features.  Features are words and
 their beginnings of four to six letters (so that inflected forms count together), valued log(1 + count).
 
 The table of labels is met by a sample of about ``TRAIN_ROWS`` labelled rows outside the held-out part (see
@@ -29,9 +29,11 @@ from stayledger.llm.rule_ensemble import labelled_sample
 
 TRAIN_ROWS = 8_000
 VOCABULARY = 600
+# A feature counts when this many of the sample's texts have it, and this share of them.
 LEAST_TEXTS = 5
+LEAST_SHARE = 0.001
 GRADES = 4
-TOXIC_FROM = 0.5
+TOXIC_FROM = 0.25
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -62,7 +64,7 @@ def vector(text: str | None, vocabulary: dict[str, int], known: dict[str, list[i
     return list(counts), [float(np.log1p(n)) for n in counts.values()]
 
 
-def fit_ordinal(rows: list[tuple[list[int], list[float]]], y: np.ndarray, width: int, steps: int = 400, ridge: float = 1e-3):
+def fit_ordinal(rows: list[tuple[list[int], list[float]]], y: np.ndarray, width: int, steps: int = 600, ridge: float = 2e-4):
     """(weights, increasing cuts) by Adam on the mean log likelihood with an L2 penalty."""
     at = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
     col = np.array([j for i, _ in rows for j in i], dtype=int)
@@ -120,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, vocabulary:
         .select("y", F.explode("found").alias("feature"))
         .groupBy("feature")
         .agg(F.count("*").alias("n"), F.sum("y").alias("k"))
-        .where(F.col("n") >= LEAST_TEXTS)
+        .where(F.col("n") >= max(LEAST_TEXTS, LEAST_SHARE * total))
         .withColumn("z", (F.col("k") - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share)))
     )
     best = counted.orderBy(F.abs("z").desc(), "feature").limit(vocabulary).collect()
@@ -129,16 +131,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, vocabulary:
     marker = np.array([r["z"] > 4 and r["k"] >= 0.5 * r["n"] for r in best])
     got = train.select("text", "y").toLocalIterator()
     known: dict[str, list[int]] = {}
-    vectors, y, density = [], [], []
+    vectors, y, count = [], [], []
     for text, label in got:
         ids, values = vector(text, index, known)
         vectors.append((ids, values))
         y.append(label)
-        n = len(_WORD.findall(text or ""))
-        density.append(sum(np.expm1(v) for j, v in zip(ids, values) if marker[j]) / max(n, 1))
-    y, density = np.array(y), np.array(density)
-    thirds = np.quantile(density[y > 0], [1 / 3, 2 / 3])
-    grade = np.where(y > 0, 1 + (density > thirds[0]) + (density > thirds[1]), 0).astype(int)
+        count.append(sum(np.expm1(v) for j, v in zip(ids, values) if marker[j]))
+    y, count = np.array(y), np.array(count)
+    thirds = np.quantile(count[y > 0], [1 / 3, 2 / 3])
+    grade = np.where(y > 0, 1 + (count > thirds[0]) + (count > thirds[1]), 0).astype(int)
     w, cuts = fit_ordinal(vectors, grade, len(index))
     return Model(index, w, cuts)
 
