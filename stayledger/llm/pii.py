@@ -34,7 +34,9 @@ _EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?:(?<![0-9])|\G)[0-9]++(?:\.[0-9]++){3}"
 _CARD = r"[0-9](?:[\x20-]?[0-9]){11,}+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{4,}(?![\p{L}\p{N}@_]|[.@-][\p{L}\p{N}])"
+_BEFORE = r"(?<![\p{L}\p{N}@._%+-])"
+_AFTER = r"(?![\p{L}\p{N}@_]|[.@-][\p{L}\p{N}])"
+TERM = _BEFORE + r"\p{L}{4,}" + _AFTER
 
 
 def _digits(hit: Column) -> Column:
@@ -138,14 +140,9 @@ def disclosing_terms(
         .where(F.col("texts") >= support)
     )
     pairs = stored(pairs, "pairs")
-    # Counted over all documents; only the counts of candidate terms are kept.
-    candidates = stored(pairs.select(F.col("term").alias("candidate")).distinct(), "candidates")
-    n_t = (
-        doc_terms(docs)
-        .join(sized(candidates), F.col("term") == F.col("candidate"), "left_semi")
-        .groupBy("term")
-        .agg(F.count("*").alias("n_t"))
-    )
+    # Counted over all documents, combined before the shuffle.  Joined after, and not by a semi join, which
+    # would be moved below the sums and bring every occurrence of a frequent candidate.
+    n_t = doc_terms(docs).groupBy("term").agg(F.count("*").alias("n_t"))
     total = docs.count()
     told = F.log2(F.col("n_te") * F.lit(float(total)) / (F.col("n_t") * F.col("n_e")))
     worth = F.log2(F.lit(float(total)) / F.col("n_e"))
