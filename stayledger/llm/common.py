@@ -44,12 +44,13 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE, -1), "")
 
 
-def located(text: Column, pattern: str) -> Column:
+def located(text: Column, pattern: str | Column) -> Column:
     """Leftmost non-overlapping matches with code-point offsets, end exclusive.
 
     The pieces between the matches give the offsets, so no row leaves the JVM.
     The pattern must not match the empty string."""
-    parts = F.arrays_zip(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
+    parts = F.arrays_zip(F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0)))
     parts = F.filter(parts, lambda p: p["1"].isNotNull())
     begin = F.struct(F.lit(0).alias("at"), F.array().cast(NO_SPANS).alias("spans"))
 

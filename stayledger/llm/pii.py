@@ -171,12 +171,13 @@ def find(docs: DataFrame, **limits: float) -> tuple[DataFrame, DataFrame]:
     held = body.join(
         sized(hits, BROADCAST_ROWS // 10), F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("body_hash") == F.col("h_hash"))
     )
-    # Terms are letters only; the hits of the general pattern that are in the row's list are the spans.
+    # Terms are letters only, so the row's list is a pattern as it stands.
+    wanted = F.concat(F.lit("(?iu)" + _BEFORE + "(?:"), F.array_join("terms", "|"), F.lit(")" + _AFTER))
     found = held.select(
         "h_id",
         "h_hash",
         tagged(
-            F.filter(located(F.col("body"), TERM), lambda s: F.array_contains("terms", F.lower(s["hit"]))), "term", 5
+            F.filter(located(F.col("body"), wanted), lambda s: F.array_contains("terms", F.lower(s["hit"]))), "term", 5
         ).alias("more"),
     ).dropDuplicates(["h_id", "h_hash"])
     joined = marks.join(
