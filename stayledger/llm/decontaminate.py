@@ -31,7 +31,7 @@ CHUNK = 100_000
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256)
 )
-FOUND = "doc_id bigint, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
+FOUND = "doc_id bigint, body_hash bigint, n_words bigint, spans array<struct<start:int,end:int>>, items array<string>"
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -115,25 +115,34 @@ def _searched(docs: DataFrame, patterns: dict[tuple[bytes, ...], list[str]]) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher({tuple(w.encode("latin-1") for w in p): ids for p, ids in json.loads(plain.value)})
         schema = pa.schema([
-            ("doc_id", pa.int64()), ("n_words", pa.int64()),
+            ("doc_id", pa.int64()), ("body_hash", pa.int64()), ("n_words", pa.int64()),
             ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), ("items", pa.list_(pa.string())),
         ])
         for batch in in_chunks(batches, "text"):
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for doc_id, text, body_hash in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 ws = split_words(text)
                 spans, items = matcher.search(ws)
                 rows.append({
-                    "doc_id": doc_id, "n_words": len(ws),
+                    "doc_id": doc_id, "body_hash": body_hash, "n_words": len(ws),
                     "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items),
                 })
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return in_arrow(docs.select(F.col("doc_id").cast("bigint"), "text"), run, FOUND)
+    return in_arrow(docs.select(F.col("doc_id").cast("bigint"), "text", _body_hash().alias("body_hash")), run, FOUND)
+
+
+def _body_hash():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Per row: doc_id, n_words, merged spans of hit words, items with occurring windows (sorted as text)."""
+    return _found(docs, benchmark).select("doc_id", "n_words", "spans", "items")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``search`` with the text hash of each row."""
     parts = [_searched(docs, chunk) for chunk in pattern_chunks(benchmark)] or [_searched(docs, {})]
     if len(parts) == 1:
         return parts[0]
@@ -142,9 +151,9 @@ def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for part in parts[1:]:
         whole = whole.unionByName(part)
     return (
-        whole.groupBy("doc_id", "n_words")
+        whole.groupBy("doc_id", "body_hash", "n_words")
         .agg(F.flatten(F.collect_list("spans")).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        .select("doc_id", "n_words", _merged(F.array_sort("s")).alias("spans"), "items")
+        .select("doc_id", "body_hash", "n_words", _merged(F.array_sort("s")).alias("spans"), "items")
     )
 
 
@@ -171,5 +180,11 @@ def n_hit(spans: str = "spans"):
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without any window of the benchmark; columns as given."""
-    hit = search(docs, benchmark).where(F.size("spans") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").cast("bigint").eqNullSafe(F.col("hit_id")), "left_anti")
+    hit = (
+        _found(docs, benchmark)
+        .where(F.size("spans") > 0)
+        .select(F.col("doc_id").alias("hit_id"), F.col("body_hash").alias("hit_hash"))
+        .distinct()
+    )
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("hit_id")) & (_body_hash() == F.col("hit_hash"))
+    return docs.join(hit, same, "left_anti")

@@ -16,8 +16,8 @@ The suffixes of all documents are not sorted as one; they are sorted in buckets
    dealt by window instead, so that no task holds a bucket that grows with the corpus.
 
 Defined results: matches never cross documents; null and empty texts have nothing to remove; a null doc_id counts as the
-smallest; rows that repeat a doc_id (and so its text) are one document and come back each; an empty table gives an
-empty result; other columns are not read.
+smallest; rows of one doc_id and text are one document and come back each; different texts under one doc_id are documents
+of their own, in the order of their hashes; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import in_arrow, in_chunks, stored
+from stayledger.llm.common import in_arrow, in_chunks, sized, stored
 
 LENGTH = 100
 GRAM = 24
@@ -43,7 +43,7 @@ NULL_ID = -(2**63)
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
 _MARKS = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
-MARKED = "h bigint, c bigint, doc_id bigint, start int, stop int, anchor int"
+MARKED = "h bigint, c bigint, doc_id bigint, body bigint, start int, stop int, anchor int"
 
 
 def _powers(n: int, base: int) -> np.ndarray:
@@ -122,39 +122,43 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Selected grams with the first copy of each context of a stretch (anchor >= 0), and the intervals of
     the other copies (anchor -1, dealt by document)."""
     for batch in in_chunks(batches, "text"):
-        ids, found = [], []
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        ids, bodies, found = [], [], []
+        for doc_id, text, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
             got = selected(np.frombuffer(_bytes(text), dtype=np.uint8))
             if len(got[0]):
                 ids.append(np.full(len(got[0]), doc_id, dtype=np.int64))
+                bodies.append(np.full(len(got[0]), body, dtype=np.int64))
                 found.append(got)
         if not found:
             continue
-        doc = np.concatenate(ids)
+        doc, text_of = np.concatenate(ids), np.concatenate(bodies)
         h, c, start, stop, place = (np.concatenate(x) for x in zip(*found))
-        order = np.lexsort((place, doc, c, h))
-        h, c, doc, start, stop, place = (x[order] for x in (h, c, doc, start, stop, place))
+        order = np.lexsort((place, text_of, doc, c, h))
+        h, c, doc, text_of, start, stop, place = (x[order] for x in (h, c, doc, text_of, start, stop, place))
         same = np.r_[False, (h[1:] == h[:-1]) & (c[1:] == c[:-1])]
         head = np.maximum.accumulate(np.where(same, 0, np.arange(len(h))))
-        later = same & ((doc != doc[head]) | (place != place[head]))  # a repeated row is no later copy
+        # A repeated row is no later copy.
+        later = same & ((doc != doc[head]) | (text_of != text_of[head]) | (place != place[head]))
         first = ~same
         by = np.flatnonzero(later & (stop - start >= LENGTH))
-        by = by[np.lexsort((start[by], doc[by]))]
-        edges = np.flatnonzero(np.r_[True, doc[by][1:] != doc[by][:-1]]) if len(by) else []
+        by = by[np.lexsort((start[by], text_of[by], doc[by]))]
+        turns = (doc[by][1:] != doc[by][:-1]) | (text_of[by][1:] != text_of[by][:-1])
+        edges = np.flatnonzero(np.r_[True, turns]) if len(by) else []
         gone: list[tuple] = []
         for x, y in zip(edges, [*edges[1:], len(by)]):
             a, b = merged(start[by[x:y]], stop[by[x:y]])
-            gone.append((np.full(len(a), doc[by[x]]), a, b))
-        gd, gs, ge = (np.concatenate(x) for x in zip(*gone)) if gone else (np.zeros(0, np.int64),) * 3
+            gone.append((np.full(len(a), doc[by[x]]), np.full(len(a), text_of[by[x]]), a, b))
+        gd, gt, gs, ge = (np.concatenate(x) for x in zip(*gone)) if gone else (np.zeros(0, np.int64),) * 4
         columns = [
-            np.r_[h[first].view(np.int64), _mixed(gd.view(np.uint64)).view(np.int64)],
+            np.r_[h[first].view(np.int64), _mixed(gd.view(np.uint64) ^ gt.view(np.uint64)).view(np.int64)],
             np.r_[c[first].view(np.int64), np.zeros(len(gd), np.int64)],
             np.r_[doc[first], gd],
+            np.r_[text_of[first], gt],
             np.r_[start[first], gs].astype(np.int32),
             np.r_[stop[first], ge].astype(np.int32),
             np.r_[place[first], np.full(len(gd), -1)].astype(np.int32),
         ]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "c", "doc_id", "start", "stop", "anchor"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["h", "c", "doc_id", "body", "start", "stop", "anchor"])
 
 
 def previous_factors(place: np.ndarray, lcp: np.ndarray) -> np.ndarray:
@@ -174,13 +178,15 @@ def previous_factors(place: np.ndarray, lcp: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated(key: np.ndarray, doc: np.ndarray, start: np.ndarray, window: np.ndarray) -> np.ndarray:
+def repeated(key: np.ndarray, doc: np.ndarray, body: np.ndarray, start: np.ndarray, window: np.ndarray) -> np.ndarray:
     """Indices of windows whose text starts earlier in the same bucket.
 
-    ``window`` has a row of LENGTH bytes for each (bucket, doc, start); the same place given twice counts once."""
-    order = np.lexsort((start, doc, key))
-    key, doc, start, window = key[order], doc[order], start[order], window[order]
-    once = np.r_[True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (start[1:] != start[:-1])]
+    ``window`` has a row of LENGTH bytes for each (bucket, doc, body, start); the same place given twice counts once."""
+    order = np.lexsort((start, body, doc, key))
+    key, doc, body, start, window = key[order], doc[order], body[order], start[order], window[order]
+    once = np.r_[
+        True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (body[1:] != body[:-1]) | (start[1:] != start[:-1])
+    ]
     order, key, window = order[once], key[once], window[once]
     rank = np.cumsum(np.r_[0, key[1:] != key[:-1]]).astype(">u4")
     text = np.concatenate([rank.view(np.uint8).reshape(-1, 4), window], axis=1)
@@ -195,74 +201,91 @@ def repeated(key: np.ndarray, doc: np.ndarray, start: np.ndarray, window: np.nda
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the contexts asked for; of crowded buckets, one digest per window."""
-    names = ["h", "doc_id", "start", "bytes", "crowded"]
+    names = ["h", "doc_id", "body", "start", "bytes", "crowded"]
     for batch in in_chunks(batches, "text"):
-        rows: list[list] = [[], [], [], [], []]
-        for doc_id, text, asked in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        rows: list[list] = [[] for _ in names]
+        for doc_id, text, body, asked in zip(*(batch.column(i).to_pylist() for i in range(4))):
             raw = _bytes(text)
             for one in asked:
                 a, b = one["start"], one["stop"]
                 if one["crowded"]:
                     for s in range(a, b - LENGTH + 1):
                         digest = hashlib.blake2b(raw[s : s + LENGTH], digest_size=16).digest()
-                        for column, x in zip(rows, (int.from_bytes(digest[:8], "little", signed=True), doc_id, s, digest, True)):
+                        bucket = int.from_bytes(digest[:8], "little", signed=True)
+                        for column, x in zip(rows, (bucket, doc_id, body, s, digest, True)):
                             column.append(x)
                 else:
-                    for column, x in zip(rows, (one["h"], doc_id, a, raw[a:b], False)):
+                    for column, x in zip(rows, (one["h"], doc_id, body, a, raw[a:b], False)):
                         column.append(x)
             if len(rows[0]) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, _TYPES)], names)
-                rows = [[], [], [], [], []]
+                rows = [[] for _ in names]
         if rows[0]:
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, _TYPES)], names)
 
 
-_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
+_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by bucket: sort the windows of whole buckets, some ``WINDOWS`` at a time."""
-    held: list[tuple[int, int, int, bytes]] = []
+    held: list[tuple[int, int, int, int, bytes]] = []
     count = 0
 
-    def flush(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
-        keys, docs, starts, views = [], [], [], []
-        for h, doc, at, raw in rows:
+    def flush(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
+        keys, docs, bodies, starts, views = [], [], [], [], []
+        for h, doc, body, at, raw in rows:
             view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, dtype=np.uint8), LENGTH)
             views.append(view)
-            keys.append(np.full(len(view), h)), docs.append(np.full(len(view), doc))
+            keys.append(np.full(len(view), h)), docs.append(np.full(len(view), doc)), bodies.append(np.full(len(view), body))
             starts.append(np.arange(at, at + len(view)))
-        key, doc, start = np.concatenate(keys), np.concatenate(docs), np.concatenate(starts)
-        gone = np.sort(repeated(key, doc, start, np.concatenate(views)))
+        key, doc, body, start = (np.concatenate(x) for x in (keys, docs, bodies, starts))
+        gone = np.sort(repeated(key, doc, body, start, np.concatenate(views)))
         # Runs of neighbouring windows of one context become one interval.
-        d, s = doc[gone], start[gone]
-        new = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (s[1:] != s[:-1] + 1)]) if len(d) else np.zeros(0, int)
+        d, t, s = doc[gone], body[gone], start[gone]
+        turns = (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (s[1:] != s[:-1] + 1)
+        new = np.flatnonzero(np.r_[True, turns]) if len(d) else np.zeros(0, int)
         end = np.r_[new[1:] - 1, len(d) - 1] if len(d) else new
         return pa.RecordBatch.from_arrays(
-            [pa.array(d[new], pa.int64()), pa.array(s[new].astype(np.int32)), pa.array((s[end] + LENGTH).astype(np.int32))],
-            ["doc_id", "start", "stop"],
-        )
+            [pa.array(d[new], pa.int64()), pa.array(t[new], pa.int64()),
+             pa.array(s[new].astype(np.int32)), pa.array((s[end] + LENGTH).astype(np.int32))],
+            ["doc_id", "body", "start", "stop"],
+        )
 
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
             if held and count >= WINDOWS and row[0] != held[-1][0]:
                 yield flush(held)
                 held, count = [], 0
             held.append(row)
-            count += max(len(row[3]) - LENGTH + 1, 0)
+            count += max(len(row[4]) - LENGTH + 1, 0)
     if held:
         yield flush(held)
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("doc_id"), "text")
+    """doc_id, text and body: the text hash where different texts share a doc_id, else 0, which costs no room."""
+    each = docs.select(
+        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NULL_ID)).alias("doc_id"),
+        "text",
+        F.xxhash64(F.coalesce("text", F.lit(""))).alias("body"),
+    )
+    shared = (
+        each.groupBy(F.col("doc_id").alias("s_id"))
+        .agg(F.min("body").alias("low"), F.max("body").alias("high"))
+        .where("low <> high")
+        .select("s_id")
+    )
+    shared = sized(stored(shared, "shared-ids"))
+    return each.join(shared, F.col("doc_id") == F.col("s_id"), "left").select(
+        "doc_id", "text", F.when(F.col("s_id").isNotNull(), F.col("body")).otherwise(F.lit(0).cast("bigint")).alias("body")
+    )
 
 
-def intervals(docs: DataFrame) -> DataFrame:
-    """(doc_id, start, stop) of removed bytes; intervals may overlap."""
-    body = _bodies(docs)
-    grams = in_arrow(body, _marks, MARKED)
-    one_context = Window.partitionBy("h", "c").orderBy("doc_id", "anchor")
+def intervals(bodies: DataFrame) -> DataFrame:
+    """(doc_id, body, start, stop) of removed bytes; intervals may overlap."""
+    grams = in_arrow(bodies, _marks, MARKED)
+    one_context = Window.partitionBy("h", "c").orderBy("doc_id", "body", "anchor")
     one_gram = Window.partitionBy("h")
     ranked = grams.withColumn("copy", F.rank().over(one_context))
     # rank() leaves repeated rows at 1: they are the same place.
@@ -274,30 +297,31 @@ def intervals(docs: DataFrame) -> DataFrame:
     gone = (F.col("anchor") < 0) | (F.col("copy") > 1)
     kept = (
         ranked.where((F.col("stop") - F.col("start") >= LENGTH) & (gone | several))
-        .select("h", "doc_id", "start", "stop", gone.alias("gone"), (F.col("crowd") > CROWD).alias("crowded"))
+        .select("h", "doc_id", "body", "start", "stop", gone.alias("gone"), (F.col("crowd") > CROWD).alias("crowded"))
     )
     kept = stored(kept, "contexts")
     asked = (
         kept.where("NOT gone")
-        .groupBy(F.col("doc_id").alias("a_id"))
+        .groupBy(F.col("doc_id").alias("a_id"), F.col("body").alias("a_body"))
         .agg(F.collect_set(F.struct("h", "start", "stop", "crowded")).alias("asked"))
     )
     read = in_arrow(
-        body.join(asked, F.col("doc_id") == F.col("a_id")).select("doc_id", "text", "asked"),
+        bodies.join(asked, (F.col("doc_id") == F.col("a_id")) & (F.col("body") == F.col("a_body")))
+        .select("doc_id", "text", "body", "asked"),
         _contexts,
-        "h bigint, doc_id bigint, start int, bytes binary, crowded boolean",
+        "h bigint, doc_id bigint, body bigint, start int, bytes binary, crowded boolean",
     )
     read = stored(read, "windows")
-    plain = read.where("NOT crowded").repartition("h").sortWithinPartitions("h", "doc_id", "start")
-    sorted_out = plain.mapInArrow(_suffixes, "doc_id bigint, start int, stop int")
-    by_digest = Window.partitionBy("bytes").orderBy("doc_id", "start")
+    plain = read.where("NOT crowded").repartition("h").sortWithinPartitions("h", "doc_id", "body", "start")
+    sorted_out = plain.mapInArrow(_suffixes, "doc_id bigint, body bigint, start int, stop int")
+    by_digest = Window.partitionBy("bytes").orderBy("doc_id", "body", "start")
     dealt = (
         read.where("crowded")
         .withColumn("copy", F.rank().over(by_digest))
         .where(F.col("copy") > 1)
-        .select("doc_id", "start", (F.col("start") + LENGTH).alias("stop"))
+        .select("doc_id", "body", "start", (F.col("start") + LENGTH).alias("stop"))
     )
-    return kept.where("gone").select("doc_id", "start", "stop").unionByName(sorted_out).unionByName(dealt)
+    return kept.where("gone").select("doc_id", "body", "start", "stop").unionByName(sorted_out).unionByName(dealt)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,10 +345,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the remaining bytes of each row."""
+    bodies = _bodies(docs)
     cuts = (
-        intervals(docs)
-        .groupBy(F.col("doc_id").alias("c_id"))
+        intervals(bodies)
+        .groupBy(F.col("doc_id").alias("c_id"), F.col("body").alias("c_body"))
         .agg(F.collect_set(F.struct("start", "stop")).alias("cuts"))
     )
-    joined = _bodies(docs).join(cuts, F.col("doc_id") == F.col("c_id"), "left").select("doc_id", "text", "cuts")
+    own = (F.col("doc_id") == F.col("c_id")) & (F.col("body") == F.col("c_body"))
+    joined = bodies.join(cuts, own, "left").select("doc_id", "text", "cuts")
     return in_arrow(joined, _cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")

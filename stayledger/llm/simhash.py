@@ -64,12 +64,19 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in in_chunks(batches, "text"):
         values = [fingerprint(t) for t in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.int64())], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(values, pa.int64()), batch.column(2)], ["doc_id", "fp", "body_hash"]
+        )
+
+
+def _body_hash():
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fp (the 64 bits as a signed number) of each row."""
-    return in_arrow(docs.select(F.col("doc_id").cast("bigint"), "text"), _fingerprints, "doc_id bigint, fp bigint")
+    """doc_id, fp (the 64 bits as a signed number) and text hash of each row."""
+    cut = docs.select(F.col("doc_id").cast("bigint"), "text", _body_hash().alias("body_hash"))
+    return in_arrow(cut, _fingerprints, "doc_id bigint, fp bigint, body_hash bigint")
 
 
 def postings(fps: DataFrame) -> DataFrame:
@@ -157,8 +164,8 @@ def links(fps: DataFrame) -> DataFrame:
     return dealt.mapInArrow(_links, "u bigint, v bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fp and component_id (the smallest doc_id reachable) of each row."""
+def _grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, fp, text hash, component_id and the group's own mark (its smallest fingerprint) of each row."""
     marks = stored(fingerprints(docs), "fingerprints")
     nodes = stored(marks.groupBy("fp").agg(F.min("doc_id").alias("rep")), "nodes")
     roots = components(links(nodes.select("fp")))
@@ -168,8 +175,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     by_fp = stored(by_fp, "roots")
     least = by_fp.groupBy(F.col("root").alias("r")).agg(F.min("rep").alias("component_id"))
-    named = by_fp.join(least, F.col("root") == F.col("r")).select(F.col("fp").alias("n_fp"), "component_id")
-    return marks.join(named, F.col("fp") == F.col("n_fp")).select("doc_id", "fp", "component_id")
+    named = by_fp.join(least, F.col("root") == F.col("r")).select(F.col("fp").alias("n_fp"), "component_id", "root")
+    return marks.join(named, F.col("fp") == F.col("n_fp")).select("doc_id", "fp", "body_hash", "component_id", "root")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fp and component_id (the smallest doc_id reachable) of each row."""
+    return _grouped(docs).select("doc_id", "fp", "component_id")
 
 
 def hex_digits(fp: str = "fp"):
@@ -178,9 +190,19 @@ def hex_digits(fp: str = "fp"):
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The document of the smallest doc_id of each group, one row of it; columns as given.
-
-    A row with a null doc_id is kept only where its group has no other."""
-    firsts = near_duplicates(docs).groupBy("component_id").agg(F.count("*")).select("component_id")
-    joined = docs.join(firsts, F.col("doc_id").cast("bigint").eqNullSafe(F.col("component_id")), "left_semi")
-    return joined.dropDuplicates(["doc_id"])
+    """One row of each group, that of the smallest doc_id and of its texts the one of the smallest hash; columns as given.
+
+    A row with a null doc_id is kept only where its group has no other; groups of null doc_ids only keep one row each."""
+    firsts = (
+        _grouped(docs)
+        .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        .groupBy("root")
+        .agg(F.min("component_id").alias("first_id"), F.min("body_hash").alias("first_hash"))
+        .select("first_id", "first_hash")
+    )
+    joined = docs.withColumn("own_hash", _body_hash()).join(
+        firsts,
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col("first_id")) & (F.col("own_hash") == F.col("first_hash")),
+        "left_semi",
+    )
+    return joined.dropDuplicates(["doc_id", "own_hash"]).select(*docs.columns)
