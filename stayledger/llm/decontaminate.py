@@ -6,24 +6,27 @@ how far the search may jump: m - 1 if no pattern has the pair, else the least di
 end.  At distance 0 the patterns whose last words hash alike are taken from a bucket and compared word for word.
 Patterns of one length share tables, so a short item does not shorten the jumps of the others.
 
-The benchmark is searched in chunks of at most ``CHUNK`` patterns; each chunk's tables go to the executors, and all
-documents are searched once per chunk, so memory does not grow with the benchmark.
+The windows are made by Spark and stored.  Up to ``CHUNK`` patterns are searched in one pass.  More are dealt by hash into
+chunks of about that size; one chunk after another is read, sent to the executors, searched for in all documents and
+let go, so that memory does not grow with the benchmark.  The hits of a text are stored and joined back to its rows.
 
 Defined results: null, empty and wordless texts have no words and no hits; an item without words (or null) has no
-windows; repeated rows are searched each (with several chunks they come back once); repeated item_ids count once; an empty benchmark hits nothing; other columns
-are not read.
+windows; every row comes back, whatever the number of chunks; repeated item_ids count once; an empty benchmark hits
+nothing; other columns are not read.
 """
 
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import in_arrow, in_chunks
+from stayledger.llm.common import in_arrow, in_chunks, sized, stored
 
 WINDOW = 10
 CHUNK = 100_000
@@ -92,26 +95,34 @@ def windows(text: str | None) -> set[tuple[bytes, ...]]:
     return {tuple(ws[i : i + m]) for i in range(len(ws) - m + 1)} if ws else set()
 
 
-def pattern_chunks(benchmark: DataFrame) -> Iterator[dict[tuple[bytes, ...], list[str]]]:
-    """Patterns with their items, ``CHUNK`` at most at a time (one item more, if it crosses the bound)."""
+def _window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in in_chunks(batches, "text"):
+        for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            found = [b" ".join(p) for p in windows(text)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([item] * len(found), pa.string()), pa.array(found, pa.binary())], ["item", "pattern"]
+            )
+
+
+def pattern_rows(benchmark: DataFrame) -> DataFrame:
+    """Distinct (item, pattern): the windows of each item, words joined by spaces."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text")
+    return in_arrow(items, _window_rows, "item string, pattern binary").distinct()
+
+
+def _patterns(rows: DataFrame) -> dict[tuple[bytes, ...], list[str]]:
+    """Patterns of one chunk with their items."""
     chunk: dict[tuple[bytes, ...], list[str]] = {}
-    for row in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        for p in windows(row[1]):
-            ids = chunk.setdefault(p, [])
-            if row[0] not in ids:
-                ids.append(row[0])
-        if len(chunk) >= CHUNK:
-            yield chunk
-            chunk = {}
-    if chunk:
-        yield chunk
-
-
-def _searched(docs: DataFrame, patterns: dict[tuple[bytes, ...], list[str]]) -> DataFrame:
-    plain = docs.sparkSession.sparkContext.broadcast(
-        json.dumps([[[w.decode("latin-1") for w in p], ids] for p, ids in patterns.items()])
-    )
+    for item, pattern in rows.select("item", "pattern").toLocalIterator():
+        chunk.setdefault(tuple(bytes(pattern).split(b" ")), []).append(item)
+    return chunk
 
+
+def _sent(spark: SparkSession, patterns: dict[tuple[bytes, ...], list[str]]) -> Broadcast:
+    return spark.sparkContext.broadcast(json.dumps([[[w.decode("latin-1") for w in p], ids] for p, ids in patterns.items()]))
+
+
+def _searched(docs: DataFrame, plain: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher({tuple(w.encode("latin-1") for w in p): ids for p, ids in json.loads(plain.value)})
         schema = pa.schema([
@@ -125,7 +136,7 @@ def _searched(docs: DataFrame, patterns: dict[tuple[bytes, ...], list[str]]) ->
                 spans, items = matcher.search(ws)
                 rows.append({
                     "doc_id": doc_id, "body_hash": body_hash, "n_words": len(ws),
-                    "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items),
+                    "spans": [{"start": a, "end": b} for a, b in spans], "items": sorted(items, key=lambda x: (x is None, x)),
                 })
             yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
@@ -143,18 +154,39 @@ def search(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``search`` with the text hash of each row."""
-    parts = [_searched(docs, chunk) for chunk in pattern_chunks(benchmark)] or [_searched(docs, {})]
-    if len(parts) == 1:
-        return parts[0]
-    # Each chunk gives every row once more; spans of a text are few beside its words.
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return (
-        whole.groupBy("doc_id", "body_hash", "n_words")
-        .agg(F.flatten(F.collect_list("spans")).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-        .select("doc_id", "body_hash", "n_words", _merged(F.array_sort("s")).alias("spans"), "items")
+    spark = docs.sparkSession
+    rows = stored(pattern_rows(benchmark), "patterns")
+    chunks = math.ceil(rows.select("pattern").distinct().count() / CHUNK)
+    if chunks <= 1:
+        return _searched(docs, _sent(spark, _patterns(rows)))
+    dealt = stored(
+        rows.withColumn("chunk", F.pmod(F.xxhash64("pattern"), F.lit(chunks)).cast("int"))
+        .repartition("chunk")
+        .sortWithinPartitions("chunk"),
+        "chunks",
+    )
+    hits = None
+    for k in range(chunks):
+        plain = _sent(spark, _patterns(dealt.where(F.col("chunk") == k)))
+        # Copies of a row have the same hits; spans of a text are few beside its words.
+        some = _searched(docs, plain).where(F.size("spans") > 0).dropDuplicates(["doc_id", "body_hash"])
+        some = stored(some.select("doc_id", "body_hash", "spans", "items"), "hits")
+        plain.destroy()
+        hits = some if hits is None else hits.unionByName(some)
+    whole = (
+        hits.groupBy(F.col("doc_id").alias("h_id"), F.col("body_hash").alias("h_hash"))
+        .agg(F.flatten(F.collect_list("spans")).alias("s"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("i"))
+        .select("h_id", "h_hash", _merged(F.array_sort("s")).alias("h_spans"), F.col("i").alias("h_items"))
     )
+    every = _searched(docs, _sent(spark, {}))
+    own = F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("body_hash") == F.col("h_hash"))
+    return every.join(sized(stored(whole, "hits")), own, "left").select(
+        "doc_id",
+        "body_hash",
+        "n_words",
+        F.coalesce("h_spans", "spans").alias("spans"),
+        F.coalesce("h_items", "items").alias("items"),
+    )
 
 
 def _merged(spans):
