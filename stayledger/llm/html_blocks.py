@@ -6,7 +6,7 @@ furniture is marked with (menu, header, footer, sidebar, notice, advert, form, c
 tree is trained on ``LABELLED``, a small table of blocks labelled by hand.
 
 Defined results: null, empty and textless pages give the empty text; broken markup is read as far as it goes (a tag that
-never ends is text); repeated rows are extracted each; an empty table gives an empty result; other columns are not read.
+never ends is text; an element without text that never ends stops at the next block tag, code at the end); repeated rows are extracted each; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -44,21 +44,33 @@ LABELLED = [
     (6, 0.0, 1, 0.0, 3, 1.0, 0, 0, 0), (4, 0.6, 30, 0.0, 2, 1.0, 0, 0, 0), (8, 0.0, 4, 1.0, 0, 0.0, 0, 0, 0),
 ]
 # Tags whose content is never text, tags that end a block, tags without an end, and furniture.
-_RAW = frozenset("script style noscript template head title iframe svg math object canvas audio video".split())
+_RAW = frozenset("script style noscript template title iframe svg math object canvas audio video".split())
+# Of these the ones that do not stand inside their own kind.
+_ALONE = frozenset("noscript title iframe canvas audio video".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer"
-    " form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol option p pre section select summary table tbody td"
+    " form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section select summary table tbody td"
     " textarea tfoot th thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _FURNITURE_TAGS = frozenset("nav footer aside form menu button select textarea dialog label option".split())
 _FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 _FURNITURE_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|nav\w*|menu\w*|header|masthead|footer|sidebar\w*|aside|notices?|"
+    r"(?:^|[_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|nav\w*|menu\w*|header|masthead|footer|sidebar\w*|aside|notices?|"
     r"alerts?|banner\w*|cookies?|consent|comments?|replies|disqus|respond|form|newsletter|subscri\w*|login|signup|share|sharing|"
-    r"social\w*|related|recommend\w*|breadcrumbs?|pagination|popup|modal|widget\w*|skip)(?:$|[\s_-])",
+    r"social\w*|related|recommend\w*|breadcrumbs?|pagination|popup|modal|widget\w*|skip)(?:$|[_-])",
     re.I,
 )
+# Names that tell how something else looks or what it holds, and headers of an article.
+_MODIFIER = re.compile(
+    r"(?:has|with|without|no|is)[_-].*|.*[_-](?:open|opened|closed|active|enabled|disabled|visible|hidden|collapsed|expanded)"
+    r"|(?:entry|post|article|story|content)[_-]+header",
+    re.I,
+)
+_SIDED = re.compile(r"(?:left|right)[_-].*|.*[_-](?:left|right)", re.I)
+_HEADER = re.compile(r"(?:.*[_-])?(?:header|masthead)(?:[_-].*)?", re.I)
+# Names of lists of other texts: an article inside them is one of these.
+_OTHERS = re.compile(r"(?:^|[_-])(?:comments?|replies|disqus|respond|related|recommend\w*|promo\w*|sponsor\w*|ads?|advert\w*)(?:$|[_-])", re.I)
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>"
@@ -69,29 +81,65 @@ _NAMED = re.compile(r"(?:^|\s)(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*
 _SPACE = re.compile(r"\s+")
 
 
-def _is_furniture(tag: str, attributes: str, in_article: bool) -> bool:
+# What makes furniture: nothing, a name that may stand for the layout around an article, or anything surer.
+_NONE, _NAME, _SURE = 0, 1, 2
+
+
+def _furniture_name(name: str, value: str, in_article: bool) -> int:
+    kind = _NONE
+    for token in value.split():
+        if not _FURNITURE_NAMES.search(token) or _MODIFIER.fullmatch(token):
+            continue
+        if name == "class" and _SIDED.fullmatch(token) or in_article and _HEADER.fullmatch(token):
+            continue
+        kind = max(kind, _SURE if _OTHERS.search(token) else _NAME)
+    return kind
+
+
+def _furniture(tag: str, attributes: str, in_article: bool) -> int:
     if tag in _FURNITURE_TAGS or (tag == "header" and not in_article):
-        return True
+        return _SURE
     if tag in ("article", "main", "body", "html"):
-        return False
+        return _NONE
+    kind = _NONE
     for name, a, b, c in _NAMED.findall(attributes):
         name, value = name.lower(), (a or b or c).strip()
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return _SURE
         if name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
+            return _SURE
         if name == "role" and value.lower() in _FURNITURE_ROLES:
-            return True
-        if name in ("class", "id") and _FURNITURE_NAMES.search(value):
-            return True
-    return False
+            return _SURE
+        if name in ("class", "id"):
+            kind = max(kind, _furniture_name(name, value, in_article))
+    return kind
+
+
+def _after_raw(page: str, tag: str, attributes: str, at: int, stops: dict[str, tuple[int, int]]) -> int:
+    """Where a raw element that begins before ``at`` ends: behind its end tag, or without one at the next block tag.
+
+    Code without an end tag hides the rest, as its own tags are no markup.  ``stops`` keeps the next end tag of each kind."""
+    if stops.get(tag, (-1, -1))[0] < at:
+        found = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+        stops[tag] = found.span() if found else (len(page), -1)
+    start, stop = stops[tag]
+    if stop >= 0 and not (tag in _ALONE and re.compile(rf"<{tag}[\s/>]", re.I).search(page, at, start)):
+        return stop
+    if tag == "script" and not re.search(r"(?:^|\s)src\s*=", attributes, re.I):
+        return len(page)
+    following = _BLOCK_TAG.search(page, at)
+    return following.start() if following else len(page)
+
+
+_BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCK, key=len, reverse=True))})(?=[\s/>])", re.I)
 
 
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     """(text, words, words in links, furniture, article) of each block with text, in page order."""
     out: list[tuple[str, int, int, bool, bool]] = []
-    # Open elements: tag, furniture, article, link; each inherits from the one around it.
-    stack: list[tuple[str, bool, bool, bool]] = [("", False, False, False)]
+    # Open elements: tag, kind of furniture, article, link; each inherits from the one around it.
+    stack: list[tuple[str, int, bool, bool]] = [("", _NONE, False, False)]
+    stops: dict[str, tuple[int, int]] = {}
     opened: Counter = Counter()
     pieces: list[str] = []
     linked = 0
@@ -102,7 +150,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         text = _SPACE.sub(" ", "".join(pieces)).strip()
         if text:
             n = len(text.split(" "))
-            out.append((text, n, min(linked, n), state[1], state[2]))
+            out.append((text, n, min(linked, n), state[1] > _NONE, state[2]))
         pieces.clear()
         linked = 0
 
@@ -135,11 +183,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         tag = tag.lower()
         if tag in _RAW:
             if not closing and not attributes.rstrip().endswith("/"):
-                stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-                # An unclosed element hides the rest, save the head of a page, which the body ends.
-                if stop is None and tag == "head":
-                    stop = re.compile(r"(?=<body)", re.I).search(page, at)
-                at = stop.end() if stop else end
+                at = _after_raw(page, tag, attributes, at, stops)
             continue
         if tag in _BLOCK:
             close()
@@ -157,7 +201,9 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                     pop_to(one)
             above = stack[-1]
             article = above[2] or tag in ("article", "main")
-            stack.append((tag, above[1] or _is_furniture(tag, attributes, above[2]), article, above[3] or tag == "a"))
+            # The first article or main sheds the names of the layout around it.
+            around = _NONE if article and not above[2] and above[1] == _NAME else above[1]
+            stack.append((tag, max(around, _furniture(tag, attributes, above[2])), article, above[3] or tag == "a"))
             opened[tag] += 1
         state = stack[-1]
     close()
