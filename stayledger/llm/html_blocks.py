@@ -41,7 +41,28 @@ LABELLED = [
     (90, 0.0, 12, 0.0, 85, 0.0, 1, 1, 0), (6, 0.5, 70, 0.0, 66, 0.0, 1, 1, 0), (22, 0.0, 41, 0.0, 33, 0.0, 1, 1, 0),
     (140, 0.3, 10, 0.0, 5, 0.0, 1, 0, 0), (2, 1.0, 2, 1.0, 2, 1.0, 0, 0, 0), (5, 1.0, 4, 1.0, 6, 1.0, 0, 0, 0),
     (10, 0.9, 3, 1.0, 8, 0.8, 0, 0, 0), (3, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0), (25, 0.8, 20, 0.7, 18, 0.9, 0, 0, 0),
-    (6, 0.0, 1, 0.0, 3, 1.0, 0, 0, 0), (4, 0.6, 30, 0.0, 2, 1.0, 0, 0, 0), (8, 0.0, 4, 1.0, 0, 0.0, 0, 0, 0),
+    (6, 0.0, 1, 0.0, 3, 1.0, 0, 0, 1), (4, 0.6, 30, 0.0, 2, 1.0, 0, 0, 0), (8, 0.0, 4, 1.0, 4, 1.0, 0, 0, 0),
+    # Outside articles: headings, short paragraphs, items and cells beside text, or alone on the page.
+    (3, 0.0, 80, 0.0, 80, 0.0, 0, 0, 1), (3, 0.0, 1, 1.0, 80, 0.0, 0, 0, 1), (4, 0.0, 2, 1.0, 12, 0.0, 0, 0, 1),
+    (6, 0.0, 5, 1.0, 3, 0.0, 0, 0, 1), (2, 0.0, 60, 0.0, 1, 1.0, 0, 0, 1), (5, 0.0, 7, 0.0, 4, 1.0, 0, 0, 1),
+    (8, 0.0, 20, 0.0, 3, 1.0, 0, 0, 1), (5, 0.0, 5, 0.0, 5, 0.0, 0, 0, 1), (1, 0.0, 1, 0.0, 1, 0.0, 0, 0, 1),
+    (2, 0.0, 2, 0.0, 2, 0.0, 0, 0, 1), (7, 0.0, 30, 0.1, 6, 0.0, 0, 0, 1), (1, 0.0, 3, 0.0, 40, 0.1, 0, 0, 1),
+    (4, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (8, 0.1, 9, 0.1, 70, 0.2, 0, 0, 1), (2, 0.0, 90, 0.2, 2, 1.0, 0, 0, 1),
+    (1, 0.0, 1, 0.8, 2, 0.0, 0, 0, 1), (3, 0.0, 4, 0.7, 7, 0.0, 0, 0, 1), (6, 0.0, 2, 0.0, 5, 0.7, 0, 0, 1),
+    # The same among links.
+    (1, 0.0, 1, 1.0, 1, 1.0, 0, 0, 0), (5, 0.0, 3, 1.0, 9, 0.8, 0, 0, 0), (8, 0.0, 12, 0.9, 6, 1.0, 0, 0, 0),
+    (2, 0.0, 1, 0.7, 1, 0.7, 0, 0, 0), (6, 0.1, 20, 0.7, 4, 1.0, 0, 0, 0), (4, 0.0, 2, 1.0, 30, 0.8, 0, 0, 0),
+    (7, 0.0, 5, 0.8, 2, 0.7, 0, 0, 0), (3, 0.0, 8, 1.0, 12, 0.9, 0, 0, 0),
+    # Links beside text.
+    (2, 1.0, 40, 0.0, 6, 0.0, 0, 0, 0), (5, 1.0, 3, 1.0, 30, 0.0, 0, 0, 0), (6, 0.9, 80, 0.0, 70, 0.0, 0, 0, 0),
+    (12, 1.0, 2, 1.0, 3, 0.0, 0, 0, 0), (3, 0.7, 5, 0.0, 4, 0.0, 0, 0, 0), (1, 1.0, 3, 0.0, 2, 1.0, 0, 0, 0),
+    (1, 1.0, 1, 1.0, 60, 0.1, 0, 0, 0), (30, 0.8, 70, 0.1, 50, 0.0, 0, 0, 0), (4, 0.6, 2, 0.8, 90, 0.0, 0, 0, 0),
+    (2, 1.0, 0, 0.0, 0, 0.0, 0, 0, 0), (9, 0.8, 4, 0.0, 20, 0.2, 0, 0, 0), (7, 1.0, 30, 0.2, 3, 0.8, 0, 0, 0),
+    # Links of furniture inside an article.
+    (3, 1.0, 40, 0.0, 60, 0.0, 1, 1, 0), (2, 1.0, 2, 1.0, 2, 1.0, 1, 1, 0), (30, 0.8, 10, 0.0, 12, 0.0, 1, 1, 0),
+    (5, 0.6, 5, 0.6, 5, 0.6, 1, 1, 0), (1, 1.0, 60, 0.0, 1, 1.0, 1, 1, 0), (12, 1.0, 1, 1.0, 30, 0.0, 1, 1, 0),
+    # Longer text among links.
+    (14, 0.0, 3, 1.0, 2, 1.0, 0, 0, 1), (9, 0.0, 2, 1.0, 4, 1.0, 0, 0, 1), (40, 0.1, 6, 0.8, 8, 0.9, 0, 0, 1),
 ]
 # Tags whose content is never text, tags that end a block, tags without an end, and furniture.
 _RAW = frozenset("script style noscript template title iframe svg math object canvas audio video".split())
@@ -211,9 +232,9 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
 
 
 def described(found: list[tuple[str, int, int, bool, bool]]) -> list[list[float]]:
-    """Features of each block; a missing neighbour has no words and no links."""
+    """Features of each block; at an end of the page the one neighbour counts twice, and a lone block has none."""
     own = [(float(n), links / n) for _, n, links, _, _ in found]
-    padded = [(0.0, 0.0), *own, (0.0, 0.0)]
+    padded = [own[1], *own, own[-2]] if len(own) > 1 else [(0.0, 0.0), *own, (0.0, 0.0)]
     return [
         [*padded[i + 1], *padded[i], *padded[i + 2], float(found[i][3]), float(found[i][4])] for i in range(len(found))
     ]
