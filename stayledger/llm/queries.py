@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from stayledger.llm import (
+    collocations,
     decontaminate,
+    divergence,
     html_blocks,
+    language_id,
     line_rules,
     longest_previous,
     pieces,
@@ -106,3 +109,19 @@ def op10_pieces(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"),
     )
+
+
+@query("op11_collocations", twins.OP11)
+def op11_collocations(spark, sf_dir):
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
+@query("op12_divergence", twins.OP12)
+def op12_divergence(spark, sf_dir):
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
+@query("op13_language_id")
+def op13_language_id(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    return language_id.predict(docs, language_id.fit(docs)).select("doc_id", "held_out", "lang_pred", "score")

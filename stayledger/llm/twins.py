@@ -115,3 +115,62 @@ SELECT doc_id, CAST(len(raw) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0)
     sha256(unhex(coalesce(kept, raw))) AS kept_sha256
 FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN rest USING (doc_id)
 """
+
+OP12 = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT r) AS docs FROM w GROUP BY lang, source, term),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term HAVING sum(docs) >= 10),
+v AS (SELECT lang, count(*) AS kept, sum(n) AS total FROM k GROUP BY lang),
+t AS (SELECT c.lang, c.source, sum(c.n) AS total FROM c JOIN k USING (lang, term) GROUP BY c.lang, c.source),
+g AS (
+    SELECT lang, source, coalesce(t.total, 0) AS total, coalesce(kept, 0) AS kept
+    FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN t USING (lang, source) LEFT JOIN v USING (lang)),
+p AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (g.total + 2 * g.kept) AS p,
+        1 + (1000000000::HUGEINT * (k.n + 2)) // (v.total + 2 * v.kept) AS q
+    FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+f AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+u AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+    FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+    UNION ALL SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT) FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 10
+"""
+
+OP11 = r"""
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang,
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(body, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+    SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase
+    FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) t(m) WHERE len(ws) >= m)),
+n AS (SELECT lang, count(*) AS n FROM g WHERE m = 1 GROUP BY lang),
+f AS (SELECT lang, m, phrase, count(*) AS a FROM g GROUP BY lang, m, phrase HAVING count(*) >= 30),
+cut AS (
+    SELECT lang, m, phrase, a, k, array_to_string(ws[:k], ' ') AS head, array_to_string(ws[k + 1:], ' ') AS tail
+    FROM (SELECT *, string_split(phrase, ' ') AS ws, unnest(range(1, m)) AS k FROM f WHERE m > 1)),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score, k
+    FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = c.head JOIN f y ON y.lang = c.lang AND y.phrase = c.tail),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_parts AS (
+    SELECT lang, array_to_string(ws[i:i + s - 1], ' ') AS phrase, max(a) AS top
+    FROM (SELECT lang, a, ws, s, unnest(range(1, m - s + 2)) AS i
+          FROM (SELECT lang, m, a, string_split(phrase, ' ') AS ws FROM f WHERE m > 2), (VALUES (2), (3)) t(s) WHERE s < m)
+    GROUP BY ALL),
+left_over AS (
+    SELECT b.* FROM best b LEFT JOIN inner_parts i USING (lang, phrase) WHERE i.top IS NULL OR 100::HUGEINT * i.top < 80::HUGEINT * b.a)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM left_over) JOIN n USING (lang)
+WHERE rank <= 2000
+"""
