@@ -7,6 +7,7 @@ occurrences of a phrase is the number of windows that begin with it, so one auto
    states are made from the tails up, equal ones are merged, and the arcs into the last level carry the counts.
 2. Ranges are cut by whole windows, drawn from a sample of the texts, so a frequent first word spreads over many ranges.  The
    automata of a range meet in one task, their union sums the weights, and its states give the weight of every prefix.
+   Windows are cut back to the last prefix that occurs often enough first, as nothing longer can be a phrase.
    A phrase that lies within the range is final, and kept from ``LEAST`` occurrences on; one that a cut goes through is handed
    on in parts, at most eight a range, and summed by Spark.
 3. Parts are looked up by composing the phrases with the sorted table of phrase weights, an equi-join on (lang, phrase); as many
@@ -30,6 +31,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,9 +44,9 @@ TOP = 2_000
 ABSORBED = 80
 # Windows a task holds before it builds its automata, and windows a range is meant to have.
 HELD = 1_000_000
-RANGE = 2_000_000
+RANGE = 1_000_000
 # Sampled windows per range, and how many windows of a sampled text are passed over between two.
-DRAWN, STRIDE = 200, 64
+DRAWN, STRIDE = 50, 64
 # Copies of a one-word part in the lookup.
 SALTS = 16
 _BREAK = b"\n"
@@ -60,7 +62,7 @@ class Automaton:
     Labels of the first level count ``langs``, those of the others ``words`` from 1; 0 ends a window early."""
 
     langs: list[bytes]
-    words: list[bytes]
+    words: pa.BinaryArray
     offset: list[np.ndarray]
     label: list[np.ndarray]
     target: list[np.ndarray]
@@ -104,7 +106,7 @@ class Automaton:
             look = np.flatnonzero(((weight >= least) | wide[origin]) & ((label > 0) | (level == 0)))
             kept, onward = [], []
             for k in look.tolist():
-                word = self.langs[label[k]] if level == 0 else self.words[label[k] - 1]
+                word = self.langs[label[k]] if level == 0 else self.words[int(label[k]) - 1].as_py()
                 path = (*paths[origin[k]], word)
                 if level == 0 or weight[k] >= least or path in opened:
                     yield path[0], b" ".join(path[1:]), level, int(weight[k])
@@ -115,7 +117,7 @@ class Automaton:
         sink = pa.BufferOutputStream()
         arrays = [
             pa.array(self.langs, pa.binary()),
-            pa.array(self.words, pa.binary()),
+            self.words,
             *(pa.array(_narrow(x)) for level in range(DEPTH) for x in (np.diff(self.offset[level]), self.label[level], self.target[level])),
         ]
         fields = [pa.field(str(k), a.type) for k, a in enumerate(arrays)]
@@ -128,9 +130,10 @@ class Automaton:
     @staticmethod
     def from_bytes(raw: bytes) -> Automaton:
         columns = [c.values for c in pa.ipc.open_stream(raw).read_next_batch().columns]
-        arcs = [c.to_numpy(zero_copy_only=False).astype(np.int64) for c in columns[2:]]
-        offset = [np.r_[0, np.cumsum(x)] for x in arcs[::3]]
-        return Automaton(columns[0].to_pylist(), columns[1].to_pylist(), offset, arcs[1::3], arcs[2::3])
+        arcs = [c.to_numpy(zero_copy_only=False) for c in columns[2:]]
+        offset = [np.r_[0, np.cumsum(x, dtype=np.int64)] for x in arcs[::3]]
+        label = [x.astype(np.uint32) for x in arcs[1::3]]
+        return Automaton(columns[0].to_pylist(), columns[1], offset, label, [x.astype(np.int64) for x in arcs[2::3]])
 
 
 def _narrow(x: np.ndarray) -> np.ndarray:
@@ -141,7 +144,8 @@ def _narrow(x: np.ndarray) -> np.ndarray:
 def _merged(first: np.ndarray, label: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(number of each state after merging equal ones, index of a state per number).  States are the runs of arcs
     that begin at ``first``; they are equal if all their arcs are."""
-    codes, code = np.unique(target, return_inverse=True)
+    # Weights may be large; states are numbered from 0.
+    code = target if len(target) and target.max() < 1 << 32 else np.unique(target, return_inverse=True)[1]
     arc = (label.astype(np.uint64) << np.uint64(32)) | code.astype(np.uint64)
     degree = np.diff(np.r_[first, len(label)])
     number = np.empty(len(first), dtype=np.int64)
@@ -163,12 +167,12 @@ def _merged(first: np.ndarray, label: np.ndarray, target: np.ndarray) -> tuple[n
     return number, np.concatenate(kept)
 
 
-def build(langs: list[bytes], words: list[bytes], rows: np.ndarray, weight: np.ndarray) -> Automaton:
+def build(langs: list[bytes], words: pa.BinaryArray, rows: np.ndarray, weight: np.ndarray) -> Automaton:
     """The minimal automaton of sorted distinct windows."""
     offset, labels, targets = ([None] * DEPTH for _ in range(3))
     target = weight.astype(np.int64)
     for level in reversed(range(DEPTH)):
-        label = rows[:, level].astype(np.int64)
+        label = rows[:, level]
         turns = (rows[1:, :level] != rows[:-1, :level]).any(axis=1) if level else np.zeros(max(len(rows) - 1, 0), dtype=bool)
         first = np.flatnonzero(np.r_[True, turns]) if len(rows) else np.zeros(0, dtype=np.int64)
         number, kept = _merged(first, label, target)
@@ -196,19 +200,52 @@ def summed(rows: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rows[first], np.add.reduceat(weight[order], first) if len(rows) else weight
 
 
-def union(parts: list[Automaton]) -> Automaton:
-    """The automaton of all windows, weights summed."""
+def cut_back(rows: np.ndarray, weight: np.ndarray, least: int, opened: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct windows without the words after the last prefix that weighs ``least``, or lies on the way to one of the
+    ``opened`` windows (labels, 0 where the window ends).  Weights of all prefixes that weigh as much stay what they are."""
+    if not len(rows):
+        return rows, weight
+    rows = rows.copy()
+    kept = np.ones(len(rows), dtype=bool)
+    turns = rows[1:, 0] != rows[:-1, 0]
+    same = [rows[:, 0] == path[0] for path in opened]
+    for level in range(1, DEPTH):
+        turns = turns | (rows[1:, level] != rows[:-1, level])
+        first = np.flatnonzero(np.r_[True, turns])
+        often = np.repeat(np.add.reduceat(weight, first) >= least, np.diff(np.r_[first, len(rows)]))
+        for k, path in enumerate(opened):
+            same[k] = same[k] & (rows[:, level] == path[level]) & (path[level] > 0)
+            often = often | same[k]
+        kept &= often
+        rows[~kept, level] = 0
+    return summed(rows, weight)
+
+
+def union(parts: list[Automaton], least: int = 1, opened: list[tuple] = ()) -> Automaton:
+    """The automaton of all windows, weights summed; windows are cut back to prefixes of ``least`` weight or in ``opened``."""
     langs = sorted({x for p in parts for x in p.langs})
-    words = sorted({x for p in parts for x in p.words})
-    lang_at, word_at = {x: k for k, x in enumerate(langs)}, {x: k + 1 for k, x in enumerate(words)}
-    rows, weights = [], []
+    lang_at = {x: k for k, x in enumerate(langs)}
+    each = pa.concat_arrays([p.words for p in parts])
+    words = pc.unique(each)
+    words = words.take(pc.sort_indices(words))
+    place = pc.index_in(each, value_set=words).to_numpy(zero_copy_only=False).astype(np.uint32) + np.uint32(1)
+    rows, weights, begin = [], [], 0
     for p in parts:
         mine, weight = p.windows()
         lang = np.array([lang_at[x] for x in p.langs], dtype=np.uint32)
-        word = np.array([0, *(word_at[x] for x in p.words)], dtype=np.uint32)
+        word = np.concatenate([np.zeros(1, np.uint32), place[begin : begin + len(p.words)]])
+        begin += len(p.words)
         rows.append(np.column_stack([lang[mine[:, 0]], word[mine[:, 1:]]]))
         weights.append(weight)
-    return build(langs, words, *summed(np.concatenate(rows), np.concatenate(weights)))
+    rows, weight = summed(np.concatenate(rows), np.concatenate(weights))
+    if least > 1:
+        paths = np.zeros((len(opened), DEPTH), dtype=np.int64)
+        for k, (lang, *rest) in enumerate(opened):
+            found = pc.index_in(pa.array(rest, pa.binary()), value_set=words).to_pylist()
+            paths[k, 0] = lang_at.get(lang, -1)
+            paths[k, 1 : 1 + len(rest)] = [-1 if x is None else x + 1 for x in found]
+        rows, weight = cut_back(rows, weight, least, paths)
+    return build(langs, words, rows, weight)
 
 
 class Stretch:
@@ -265,7 +302,7 @@ def _ranges(cuts: list[tuple]):
             if a < b:
                 used, mine = np.unique(rows[a:b, 1:], return_inverse=True)
                 mine = mine.reshape(-1, WORDS) + (0 if used[0] == 0 else 1)
-                own = [words[w - 1] for w in used if w]
+                own = pa.array([words[w - 1] for w in used if w], pa.binary())
                 made = build(langs, own, np.column_stack([rows[a:b, 0], mine]), weight[a:b])
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([made.to_bytes()], pa.binary())], ["at", "automaton"])
 
@@ -289,7 +326,7 @@ def _unions(cuts: list[tuple], least: int):
     def told(at: int, parts: list[bytes]) -> Iterator[pa.RecordBatch]:
         around = [c for c in (cuts[at - 1 : at] if at else []) + cuts[at : at + 1]]
         opened = {c[:k] for c in around for k in range(1, len(c) + 1)}
-        found = list(union([Automaton.from_bytes(p) for p in parts]).prefixes(least, opened))
+        found = list(union([Automaton.from_bytes(p) for p in parts], least, around).prefixes(least, opened))
         lang, phrase, m, f = zip(*found)
         yield pa.RecordBatch.from_arrays(
             [pa.array([x.decode() for x in lang], pa.string()), pa.array(phrase, pa.binary()), pa.array(m, pa.int32()), pa.array(f, pa.int64())],

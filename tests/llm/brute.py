@@ -151,3 +151,61 @@ def depleted(rows: list, min_docs: int, share: float, keep: float) -> list[tuple
         n, cut = len(_WORDS.findall(text or "")), sum(len(lines[i].split(" ")) for i in gone)
         out.append((gone, not quality(text)[5] and n - cut >= keep * n))
     return out
+
+
+def phrases(rows, least, top):
+    """rows (lang, text) -> sorted (lang, rank, phrase, a, l, r, n, score)"""
+    count, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", lowered(text)):
+            ws = [w for w in re.split("[ \t]+", piece) if w]
+            total[lang] += len(ws)
+            count.update((lang, *ws[i : i + m]) for m in range(1, 5) for i in range(len(ws) - m + 1))
+    cands = {k: a for k, a in count.items() if len(k) > 2 and a >= least}
+    by_lang: dict = {}
+    for (lang, *ws), a in cands.items():
+        inside = any(
+            100 * b >= 80 * a and any(list(other[i : i + len(ws)]) == ws for i in range(1, len(other) - len(ws) + 1))
+            for other, b in cands.items()
+            if other[0] == lang and len(other) > len(ws) + 1
+        )
+        if not inside:
+            cuts = [(count[lang, *ws[:k]], count[lang, *ws[k:]]) for k in range(1, len(ws))]
+            score, _, (left, right) = min((2_000_000 * a // (x + y), k, (x, y)) for k, (x, y) in enumerate(cuts))
+            by_lang.setdefault(lang, []).append((-score, -a, " ".join(ws).encode(), left, right))
+    out = []
+    for lang, found in by_lang.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, total[lang], -score))
+    return sorted(out)
+
+
+def divergence(rows, least_docs, top=10):
+    """rows (text, lang, source) -> sorted (lang, source, part, item, value, rank)"""
+    n, docs, groups = Counter(), Counter(), set()
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        groups.add((lang, source))
+        terms = re.findall("[^\x00-\x40\x5b-\x60\x7b-\x7f]+", lowered(text))
+        n.update((lang, source, t) for t in terms)
+        docs.update((lang, t) for t in set(terms))
+    out = []
+    for lang in {g[0] for g in groups}:
+        kept = [t for (k, t), d in docs.items() if k == lang and d >= least_docs]
+        sources = sorted(s for k, s in groups if k == lang)
+        count = {s: {t: n[lang, s, t] for t in kept} for s in sources}
+        all_n = {t: sum(count[s][t] for s in sources) for t in kept}
+
+        def shares(c):
+            total = sum(c.values()) + 2 * len(kept)
+            return {t: 1 + 10**9 * (x + 2) // total for t, x in c.items()}
+
+        p, q = {s: shares(count[s]) for s in sources}, shares(all_n)
+        f = lambda x, y: (x - y) ** 2 // (x + y)
+        for s in sources:
+            pairs = [(-sum(f(p[s][t], p[o][t]) for t in kept), o.encode()) for o in sources if o != s]
+            terms = [(-f(p[s][t], q[t]), t.encode()) for t in kept if count[s][t] and p[s][t] > q[t]]
+            for part, found in (("pair", sorted(pairs)), ("term", sorted(terms)[:top])):
+                out += [(lang, s, part, item.decode(), -v, k) for k, (v, item) in enumerate(found, 1)]
+    return sorted(out)
