@@ -8,13 +8,16 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayledger.dimensions import SITES
+from stayledger.dimensions import SITES, site_registry
 from stayledger.plans import ledger as marts
 from stayledger.plans import staging
 from stayledger.plans.audit import store_audit
 from stayledger.plans.rates import LAK_PAIRS, USD_PAIRS, lak_rates, refresh_rates, usd_rates
 from stayledger.session import build_session
+from stayledger.sinks.archive import archive_taken
 from stayledger.sinks.tables import Ledger
+from stayledger.sinks.versions import reconcile
+from stayledger.sources.files import list_snapshots
 from stayledger.streaming.ingest import refresh_stream
 
 TASKS = (
@@ -36,7 +39,12 @@ TASKS = (
     "sample",
     "stream",
     "audit",
+    "reconcile",
 )
+# Tasks that take files in.
+LOADING = ("fload", "iload", "fload_property", "iload_property", "fload_history", "iload_history", "stream")
+LOADING += ("fload_property_history", "iload_property_history")
+CURRENCIES = {"USD": (usd_rates, USD_PAIRS), "LAK": (lak_rates, LAK_PAIRS)}
 
 
 def parser() -> argparse.ArgumentParser:
@@ -51,7 +59,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--start_date", type=date.fromisoformat)
     p.add_argument("--end_date", type=date.fromisoformat)
     p.add_argument("--day", "-d", type=lambda text: datetime.strptime(text, "%d%m%Y").date(), help="rate day (ddmmyyyy)")
-    p.add_argument("--currency", choices=("USD", "LAK"), default="USD")
+    p.add_argument("--currency", choices=(*CURRENCIES, "BOTH"), default="USD", help="BOTH: payloads of one name each below the root")
+    p.add_argument("--archive", help="folder that files are moved to once they are taken in")
     p.add_argument("--checkpoint", help="checkpoint folder of the stream")
     return p
 
@@ -113,17 +122,27 @@ def run(args: argparse.Namespace, spark: SparkSession | None = None) -> None:
         marts.restore(ledger, args.start_date, args.end_date)
     elif task == "get_exchange_rate":
         _need(args, "root")
-        landed = landed_payload(spark, args.root, args.day or as_of, args.currency)
-        rates, pairs = (usd_rates, USD_PAIRS) if args.currency == "USD" else (lak_rates, LAK_PAIRS)
-        refresh_rates(ledger, rates(landed), landed, pairs)
+        both = args.currency == "BOTH"
+        for currency in CURRENCIES if both else (args.currency,):
+            path = f"{args.root}/{currency}" if both else args.root
+            landed = landed_payload(spark, path, args.day or as_of, currency)
+            rates, pairs = CURRENCIES[currency]
+            refresh_rates(ledger, rates(landed), landed, pairs)
     elif task == "sample":
         _need(args, "root")
         staging.load_sample(ledger, args.root)
     elif task == "stream":
         _need(args, "root", "checkpoint")
         refresh_stream(ledger, args.root, args.checkpoint, as_of).awaitTermination()
+        ledger.refresh()
     elif task == "audit":
         print(f"{store_audit(ledger, as_of)} lines in {ledger.name('audit')}, AUDIT_DATE {as_of}")
+    elif task == "reconcile":
+        print(f"{reconcile(ledger).count()} entries of day_versions were not borne out by the rows")
+    if args.archive is not None and args.root is not None and task in LOADING:
+        files = list_snapshots(spark, args.root, site_registry(spark, SITES, *staging.DAILY_LAYOUTS))
+        moved, kept = archive_taken(ledger, files, args.root, args.archive)
+        print(f"{moved} files moved to {args.archive}, {kept} could not be")
 
 
 if __name__ == "__main__":

@@ -111,6 +111,12 @@ def history_file(files: DataFrame) -> DataFrame:
     )
 
 
+def history_parts(files: DataFrame) -> DataFrame:
+    """All parts, which share one name, of the history file of each property."""
+    first = history_file(files).select("PROPERTY", "NAME")
+    return files.join(first, ["PROPERTY", "NAME"], "left_semi")
+
+
 def unnamed_files(files: DataFrame) -> DataFrame:
     """Files that are no history file and have no usable report day: to be looked at by hand."""
     return files.filter(F.col("REPORT_DATE").isNull() & ~is_history_name(F.col("NAME")))

@@ -1,15 +1,19 @@
-"""Reconciliation of the marts: counts, coverage, freshness, rows without key dates."""
+"""Reconciliation of the marts: counts, coverage, freshness, rows without key dates.
+
+Of stored tables, the counts are those of ``sinks.versions``: days that did not change since are not read.
+"""
 
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.operators import audits
 from stayledger.session import pin
 from stayledger.sinks.tables import Ledger
+from stayledger.sinks.versions import versions
 
 # Table -> its day column.
 DAY_COLUMN = {
@@ -39,9 +43,13 @@ def audit_day_counts(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
 def audit_summary(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """MART, PROPERTY, MIN_DATE, MAX_DATE, NB_ROWS, NULL_DATES, MODIFIED_AT: coverage, freshness and
     rows without a day.  One aggregation over the day counts, so each mart is read once."""
+    return summed_up(audit_day_counts(frames))
+
+
+def summed_up(day_counts: DataFrame) -> DataFrame:
+    """The summary of day counts."""
     return (
-        audit_day_counts(frames)
-        .groupBy("MART", "PROPERTY")
+        day_counts.groupBy("MART", "PROPERTY")
         .agg(
             F.min("DAY").alias("MIN_DATE"),
             F.max("DAY").alias("MAX_DATE"),
@@ -52,10 +60,19 @@ def audit_summary(frames: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     )
 
 
+def stored_day_counts(ledger: Ledger, tables: dict[str, str] = DAY_COLUMN) -> DataFrame:
+    """The day counts of stored tables; of the rows, only those without a day are read."""
+    undated = audit_day_counts({t: (ledger.table(t).filter(F.col(day).isNull()), day) for t, day in tables.items()})
+    parts = [
+        versions(ledger, t).select(F.lit(t).alias("MART"), "PROPERTY", F.col(day).alias("DAY"), "NB_ROWS", "MODIFIED_AT")
+        for t, day in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts, undated)
+
+
 def audit_tables(ledger: Ledger, tables: dict[str, str] = DAY_COLUMN) -> DataFrame:
     """Summary of the ledger's tables, in reading order."""
-    summary = audit_summary({t: (ledger.table(t), day) for t, day in tables.items()})
-    return summary.orderBy("MART", "PROPERTY")
+    return summed_up(stored_day_counts(ledger, tables)).orderBy("MART", "PROPERTY")
 
 
 def store_audit(ledger: Ledger, as_of: date) -> int:
@@ -67,4 +84,6 @@ def store_audit(ledger: Ledger, as_of: date) -> int:
 
 def audit_days(ledger: Ledger, table: str) -> DataFrame:
     """Rows per property and day of one table, newest first."""
-    return audits.count_by_day(ledger.table(table), DAY_COLUMN[table])
+    day = DAY_COLUMN[table]
+    counts = stored_day_counts(ledger, {table: day})
+    return counts.select("PROPERTY", F.col("DAY").alias(day), "NB_ROWS").orderBy(F.col(day).desc(), "PROPERTY")

@@ -1,7 +1,8 @@
 """The mart refreshes on stored tables: only the days that change are written.
 
 The logic is that of ``plans.marts``; here the changed keys are pinned first,
-because the tables they were derived from are about to change.
+because the tables they were derived from are about to change, and they come from
+the entries of ``sinks.versions``, so that no run reads days that did not change.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ from stayledger.plans.marts import Windows
 from stayledger.schemas import HISTORY, conform
 from stayledger.session import pin, pin_keys
 from stayledger.sinks.tables import Ledger, listed_days
+from stayledger.sinks.versions import nights as nights_of
+from stayledger.sinks.versions import versions
 
 DETAIL, HISTORY_TABLE = "booking_pace_detail", "booking_pace_history"
 REPORT, ACTUAL = "booking_pace_report", "booking_pace_actual"
@@ -50,14 +53,23 @@ def refresh_detail_full(ledger: Ledger, as_of: date) -> None:
     ledger.truncate_load(HISTORY_TABLE, history)
 
 
-def refresh_detail_incremental(ledger: Ledger, as_of: date) -> None:
-    """Replace the changed days in detail, and last night in history where today changed.
+def changed_staging(ledger: Ledger) -> DataFrame:
+    """Days (PROPERTY, REPORT_DATE) that staging has and detail lacks, or has in an older version."""
+    staged = versions(ledger, "stg_smile").unionByName(versions(ledger, "stg_opera"))
+    return changes.changed_keys(staged, versions(ledger, DETAIL))
+
+
+def changed_detail(ledger: Ledger) -> DataFrame:
+    """The same of detail and report."""
+    return changes.changed_keys(versions(ledger, DETAIL), versions(ledger, REPORT))
+
+
+def _replace_detail(ledger: Ledger, keys: DataFrame, as_of: date) -> None:
+    """Replace the pinned keys' days in detail, and last night in history where today is among them.
 
     History goes first: the change list is found again from detail if the run
     breaks off in between."""
-    canon = _canon(ledger)
-    keys = pin_keys(changes.changed_keys(canon, ledger.table(DETAIL)))
-    fresh = _within(canon, keys, "REPORT_DATE")
+    fresh = _within(_canon(ledger), keys, "REPORT_DATE")
     ledger.replace_keys(
         HISTORY_TABLE,
         changes.shifted_nights(keys, as_of),
@@ -66,45 +78,54 @@ def refresh_detail_incremental(ledger: Ledger, as_of: date) -> None:
     ledger.replace_keys(DETAIL, keys, filters.otb(fresh))
 
 
+def refresh_detail_incremental(ledger: Ledger, as_of: date) -> None:
+    """Replace the changed days in detail, and last night in history where today changed."""
+    _replace_detail(ledger, pin_keys(changed_staging(ledger)), as_of)
+
+
 def refresh_report_full(ledger: Ledger, windows: Windows = LEAD_WINDOWS) -> None:
     report, actual = marts.report_full(ledger.table(DETAIL), ledger.table(HISTORY_TABLE), windows)
     ledger.truncate_load(REPORT, report)
     ledger.truncate_load(ACTUAL, actual)
 
 
+def _replace_report(ledger: Ledger, keys: DataFrame, as_of: date, windows: Windows) -> None:
+    """Replace the pinned keys' days in report; last night and the missing nights in actual."""
+    ledger.replace_keys(REPORT, keys, pace_report(_within(ledger.table(DETAIL), keys, "REPORT_DATE"), windows))
+
+    # Last night is replaced in every property that has it on either side.
+    had, known = nights_of(ledger, HISTORY_TABLE), nights_of(ledger, ACTUAL)
+    last = known.unionByName(had).filter(F.col("STAYING") == F.lit(as_of - timedelta(days=1)))
+    nights = pin_keys(changes.missing_keys(had, known, changes.NIGHT_KEY).union(last).distinct())
+    rows = _within(ledger.table(HISTORY_TABLE), nights, "STAYING")
+    ledger.replace_keys(ACTUAL, _as_actual_keys(nights), pace_actual(rows, windows))
+
+
 def refresh_report_incremental(ledger: Ledger, as_of: date, windows: Windows = LEAD_WINDOWS) -> None:
     """Replace the changed days in report; last night and the missing nights in actual."""
-    detail, history = ledger.table(DETAIL), ledger.table(HISTORY_TABLE)
-    keys = pin_keys(changes.changed_keys(detail, ledger.table(REPORT)))
-    fresh = pace_report(_within(detail, keys, "REPORT_DATE"), windows)
-    # The keys come from detail, so each of them has rows.
-    ledger.replace_keys(REPORT, keys, fresh, present=keys)
+    _replace_report(ledger, pin_keys(changed_detail(ledger)), as_of, windows)
 
-    # Last night is replaced in every property that has it on either side.
-    night = F.lit(as_of - timedelta(days=1))
-    actual = ledger.table(ACTUAL).select("PROPERTY", F.col("STAYING_DATE").alias("STAYING"))
-    last = actual.unionByName(history.select("PROPERTY", "STAYING")).filter(F.col("STAYING") == night)
-    nights = pin_keys(changes.actual_gaps(history, ledger.table(ACTUAL)).union(last).distinct())
-    rows = _within(history, nights, "STAYING")
-    ledger.replace_keys(
-        ACTUAL, _as_actual_keys(nights), pace_actual(rows, windows), present=_as_actual_keys(rows)
-    )
+
+def refresh_days(ledger: Ledger, keys: DataFrame, as_of: date, windows: Windows = LEAD_WINDOWS) -> None:
+    """Bring all four marts up to date for the given days (PROPERTY, REPORT_DATE), whether or not they changed."""
+    keys = pin_keys(keys)
+    _replace_detail(ledger, keys, as_of)
+    _replace_report(ledger, keys, as_of, windows)
 
 
 def restore(ledger: Ledger, start: date, end: date, windows: Windows = LEAD_WINDOWS, mode: str = STRICT) -> None:
     """Fill the nights history missed from the snapshots of a range, then the nights actual lacks."""
     canon = filters.reported_between(_canon(ledger), start, end)
     nights = marts.as_history(filters.past_night(canon))
-    # Only the range's nights of history and actual are looked at.
-    had = filters.night_reported_between(ledger.table(HISTORY_TABLE), start, end)
+    had = nights_of(ledger, HISTORY_TABLE)
     gaps = pin_keys(changes.missing_keys(nights, had, changes.NIGHT_KEY))
     ledger.replace_keys(HISTORY_TABLE, gaps, _within(nights, gaps, "STAYING"))
 
-    history = filters.night_reported_between(ledger.table(HISTORY_TABLE), start, end)
-    actual = filters.night_reported_between(ledger.table(ACTUAL), start, end, "STAYING_DATE")
-    missing = pin_keys(changes.actual_gaps(history, actual))
-    fresh = pace_actual(_within(history, missing, "STAYING"), windows, mode)
-    ledger.replace_keys(ACTUAL, _as_actual_keys(missing), fresh, present=_as_actual_keys(missing))
+    # Only the range's nights of history are looked at.
+    filled = filters.night_reported_between(nights_of(ledger, HISTORY_TABLE), start, end)
+    missing = pin_keys(changes.missing_keys(filled, nights_of(ledger, ACTUAL), changes.NIGHT_KEY))
+    fresh = pace_actual(_within(ledger.table(HISTORY_TABLE), missing, "STAYING"), windows, mode)
+    ledger.replace_keys(ACTUAL, _as_actual_keys(missing), fresh)
 
 
 def load_history_full(
@@ -121,14 +142,14 @@ def load_history_full(
     past = ledger.table(ACTUAL).filter(F.col("STAYING_DATE") <= F.lit(cutoff)).select("PROPERTY", "STAYING_DATE")
     stale = past.distinct().join(props, "PROPERTY", "left_semi")
     nights = pin_keys(stale.union(_as_actual_keys(kept)).distinct())
-    ledger.replace_keys(HISTORY_TABLE, props, kept, on=("PROPERTY",))
-    ledger.replace_keys(ACTUAL, nights, pace_actual(kept, windows, mode), present=_as_actual_keys(kept))
+    ledger.replace_keys(HISTORY_TABLE, props, kept, on=("PROPERTY",), present=kept)
+    ledger.replace_keys(ACTUAL, nights, pace_actual(kept, windows, mode))
 
 
 def load_history_incremental(ledger: Ledger, rows: DataFrame) -> None:
     """Add the nights history does not have."""
     rows = conform(rows, HISTORY).filter(F.col("STAYING").isNotNull())
-    gaps = pin_keys(changes.missing_keys(rows, ledger.table(HISTORY_TABLE), changes.NIGHT_KEY))
+    gaps = pin_keys(changes.missing_keys(rows, nights_of(ledger, HISTORY_TABLE), changes.NIGHT_KEY))
     ledger.replace_keys(HISTORY_TABLE, gaps, _within(rows, gaps, "STAYING"))
 
 

@@ -39,4 +39,4 @@ def replace_rates(rates: DataFrame, fresh: DataFrame, days: DataFrame, pairs: tu
 
 def refresh_rates(ledger: Ledger, fresh: DataFrame, days: DataFrame, pairs: tuple[tuple[str, str], ...]) -> None:
     """The same on the stored table; a pair that the payload of a day lacks ends up without a rate."""
-    ledger.replace_keys("exchange_rate", rate_keys(days, pairs), fresh, present=fresh)
+    ledger.replace_keys("exchange_rate", rate_keys(days, pairs), fresh)

@@ -253,9 +253,32 @@ LOAD_REJECTS = {
     "FILE_NAME": "string",
     "COLUMN": "string",
     "TEXT": "string",
+    # Why the text gave no value.
+    "REASON": "string",
+    # Of history files: the night of the row, and the whole row where it could not be taken in.
+    "STAYING": "date",
+    "LEFT_OUT": "string",
     "REPORT_DATE": "date",
 }
 
+# What a table holds of a property on a day, and the digest of the files it was taken from.
+DAY_VERSIONS = {
+    "TABLE_NAME": "string",
+    "PROPERTY": "string",
+    "NB_ROWS": "bigint",
+    "MODIFIED_AT": "timestamp_ntz",
+    "FILES": "string",
+    "DAY": "date",
+}
+
+# Batches of a stream whose days are in the marts.
+STREAM_BATCHES = {
+    "STREAM_ID": "string",
+    "BATCH_ID": "bigint",
+    "DAYS": "array<date>",
+    "AS_OF": "date",
+}
+
 AUDIT = {
     "MART": "string",
     "PROPERTY": "string",

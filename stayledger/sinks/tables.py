@@ -2,13 +2,15 @@
 
 A plain parquet table has no DELETE.  Replacing keys means writing the touched
 days anew, kept rows and new ones together, and dropping a day that became
-empty.  Other days are neither read nor written.  The day alone is the partition:
+empty, which is one whose files the write left as they were.  Other days are
+neither read nor written.  The day alone is the partition:
 partitions stay as many as there are days, however many properties there are,
 and rows are sorted by property inside, so a property's rows sit together.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -49,7 +51,11 @@ TABLES: dict[str, TableDef] = {
     "load_manifest": TableDef(schemas.MANIFEST, "REPORT_DATE", ("PROPERTY", "NAME")),
     "load_rejects": TableDef(schemas.LOAD_REJECTS, "REPORT_DATE", ("PROPERTY", "REPORT_DATE")),
     "audit": TableDef(schemas.AUDIT, "AUDIT_DATE", ("MART", "AUDIT_DATE")),
+    "day_versions": TableDef(schemas.DAY_VERSIONS, "DAY", ("TABLE_NAME", "DAY")),
+    "stream_batches": TableDef(schemas.STREAM_BATCHES, "AS_OF", ("STREAM_ID", "BATCH_ID")),
 }
+# Kept beside any other tables.
+_BESIDE = ("day_versions", "stream_batches")
 
 DROP_BATCH = 200
 
@@ -87,7 +93,7 @@ class Ledger:
     def create(self, location: str | None = None, tables: dict[str, TableDef] = TABLES) -> None:
         """Create what does not exist yet, below ``location`` when given, else where the catalog puts it."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.database}`")
-        for table, spec in tables.items():
+        for table, spec in {**tables, **{t: TABLES[t] for t in _BESIDE}}.items():
             where = f"LOCATION '{location}/{table}'" if location else ""
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({schemas.ddl(spec.columns)}) "
@@ -101,6 +107,18 @@ class Ledger:
         """Replace the whole table."""
         self._insert(table, rows, overwrite="static")
 
+    def files(self, table: str, days: list[date] | None = None) -> dict[date | None, frozenset[str]]:
+        """Names of the files of each day (of the given ones), as Spark lists them; no file is opened."""
+        day = TABLES[table].day
+        stored = self.table(table) if days is None else self.table(table).filter(F.col(day).isin(days))
+        found: dict[date | None, set[str]] = {}
+        for uri in stored.inputFiles():
+            value, name = re.search(rf"/{day}=([^/]*)/([^/]*)$", uri).groups()
+            at = None if value == "__HIVE_DEFAULT_PARTITION__" else date.fromisoformat(value)
+            if days is None or at in days:
+                found.setdefault(at, set()).add(name)
+        return {at: frozenset(names) for at, names in found.items()}
+
     def replace_keys(
         self,
         table: str,
@@ -111,27 +129,27 @@ class Ledger:
     ) -> None:
         """Replace the rows of ``keys`` by ``rows``; a key without new rows ends up empty.
 
-        ``rows`` must lie within the keys.  ``present`` has the days of ``rows``,
-        where the caller knows them without computing the rows.  New days are
-        moved in before emptied ones go, so an interrupted run leaves old rows
+        ``rows`` must lie within the keys, and are computed once.  Only where the key has no day do their days
+        have to be known beforehand: ``present`` has them, where the caller knows them without computing the rows.
+        New days are moved in before emptied ones go, so an interrupted run leaves old rows
         rather than none, and running it again completes it."""
         spec = TABLES[table]
         on = on or spec.key
         stored = self.table(table)
         keys = pin_keys(keys.select(*on).dropna().distinct())
-        new_days = (rows if present is None else present).select(spec.day).distinct()
-        if spec.day in on:
-            touched = keys.select(spec.day)
-        else:
+        touched = keys.select(spec.day) if spec.day in on else None
+        if touched is None:
+            new_days = (rows if present is None else present).select(spec.day).distinct()
             touched = stored.join(keys, list(on), "left_semi").select(spec.day).union(new_days)
         days = listed_days(touched)
         if not days:
             return
         kept = stored.filter(F.col(spec.day).isin(days)).join(keys, list(on), "left_anti")
-        filled = listed_days(kept.select(spec.day).union(new_days))
         merged = schemas.conform(kept, spec.columns).unionByName(schemas.conform(rows, spec.columns))
+        before = self.files(table, days)
         self._insert(table, merged, overwrite="dynamic")
-        self._drop_days(table, sorted(set(days) - set(filled)))
+        after = self.files(table, days)
+        self._drop_days(table, sorted(d for d, files in before.items() if after.get(d) == files))
 
     def delete_keys(self, table: str, keys: DataFrame, on: tuple[str, ...] | None = None) -> None:
         """Remove the rows of the keys."""

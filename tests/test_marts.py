@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from booking import at, day, opera, smile
 from conftest import rows
 from stayledger.operators import changes, filters
-from stayledger.operators.canonical import union_layouts
+from stayledger.operators.canonical import canonical_smile, union_layouts
 from stayledger.operators.marts import pace_actual, pace_report
 from stayledger.plans import audit, ledger as stored, marts
 from stayledger.schemas import ACTUAL, DETAIL, HISTORY, REPORT
+from stayledger.sinks import versions
 
 TABLES = ("booking_pace_detail", "booking_pace_history", "booking_pace_report", "booking_pace_actual")
 
@@ -202,3 +203,101 @@ def test_unknown_group_values_form_one_group(spark):
     detail = filters.otb(union_layouts(smile(spark, *rows_), opera(spark)))
     assert rows(pace_report(detail), "R_CHARGE", "TOTAL_ROOM", "TOTAL_BOOKING") == [(None, 3, 3)]
     assert rows(pace_actual(detail), "R_CHARGE", "TOTAL_ROOM") == [(None, 3)]
+
+
+def spoil(folder, *keep):
+    """Make every stored file below a table's folder unreadable, but for the named days."""
+    spoilt = 0
+    for base, _, names in os.walk(folder):
+        for name in names:
+            if name.endswith(".parquet") and not any(base.endswith(d) for d in keep):
+                with open(os.path.join(base, name), "wb") as out:
+                    out.write(b"not parquet")
+                spoilt += 1
+    return spoilt
+
+
+def test_incremental_run_opens_no_file_of_an_unchanged_day(spark, ledger, nights, tmp_path):
+    s, o = nights
+    for d in (10, 12):
+        stage(ledger, spark, [n for n in s if n[1] <= day(d)], [n for n in o if n[1] <= day(d)])
+        stored.run_incremental(ledger, day(d))
+    for table in versions.FOLLOWED:
+        versions.bring_up_to_date(ledger, table)
+    expected = snapshot(ledger)
+    # The 12th of one property changes in place; everything about the other days can no longer be read.
+    new = [("SRC", day(12), day(13), 50, at(12, 20))]
+    keys = spark.createDataFrame([("SRC", day(12))], "PROPERTY string, REPORT_DATE date")
+    ledger.replace_keys("stg_smile", keys, smile(spark, *new))
+    tables = tmp_path / "tables"
+    kept = {"booking_pace_history": ["STAYING=2025-08-11"], "booking_pace_actual": ["STAYING_DATE=2025-08-11"]}
+    for table in versions.FOLLOWED:
+        assert spoil(tables / table, *kept.get(table, ["REPORT_DATE=2025-08-12"])) > 0
+    stored.run_incremental(ledger, day(12))
+    today = ledger.table("booking_pace_detail").filter("REPORT_DATE = DATE'2025-08-12'")
+    assert rows(today.filter("PROPERTY = 'SRC'"), "STAYING", "N_OF_ROOM") == [(day(13), 50)]
+    before = [r for r in expected["booking_pace_detail"] if day(12) in r and "SRC" not in r]
+    assert rows(today.filter("PROPERTY <> 'SRC'").select(*sorted(today.columns))) == before
+    report = ledger.table("booking_pace_report").filter("REPORT_DATE = DATE'2025-08-12' AND PROPERTY = 'SRC'")
+    assert rows(report, "STAYING_DATE", "TOTAL_ROOM") == [(day(13), 50)]
+    # The changed snapshot has no past night any more.
+    night = ledger.table("booking_pace_history").filter("STAYING = DATE'2025-08-11'")
+    assert {r.PROPERTY for r in night.collect()} == {"HLP", "CPV"}
+    assert audit.audit_tables(ledger).count() == 3 + 4 * 3  # properties of staging and of the marts, from entries alone
+
+
+def test_entries_equal_a_full_count_whoever_wrote(spark, ledger, nights):
+    s, o = nights
+    stage(ledger, spark, s, o)
+    stored.run_incremental(ledger, day(12))
+    assert stored.changed_staging(ledger).isEmpty() and stored.changed_detail(ledger).isEmpty()
+    # Written past the ledger, twice: entries follow.
+    ledger.append("stg_smile", smile(spark, ("NEW", day(9), day(9), 1, at(9)), (None, day(9), day(9), 1, None)))
+    ledger.table("stg_smile").limit(0).write.insertInto(ledger.name("stg_smile"))
+    canon = union_layouts(ledger.table("stg_smile"), ledger.table("stg_opera"))
+    full = changes.changed_keys(canon, ledger.table("booking_pace_detail"))
+    assert rows(stored.changed_staging(ledger)) == rows(full) and full.count() == 2
+    assert versions.bring_up_to_date(ledger, "stg_smile") == []
+    for table in versions.FOLLOWED:
+        told = versions.versions(ledger, table).select(versions.TABLES[table].day, "PROPERTY", "NB_ROWS", "MODIFIED_AT")
+        assert rows(told) == rows(versions.counted(ledger, table).select("DAY", "PROPERTY", "NB_ROWS", "MODIFIED_AT"))
+    assert versions.reconcile(ledger).isEmpty()
+    # An emptied table, and entries that are lost or wrong.
+    ledger.truncate_load("stg_opera", opera(spark))
+    assert versions.versions(ledger, "stg_opera").isEmpty()
+    wrong = ledger.table("day_versions").withColumn("NB_ROWS", F.col("NB_ROWS") + F.when(F.col("PROPERTY") == "HLP", 1).otherwise(0))
+    ledger.truncate_load("day_versions", spark.createDataFrame(wrong.collect(), wrong.schema))
+    found = versions.reconcile(ledger)
+    assert {(r.PROPERTY, r.COUNTED_ROWS - r.NB_ROWS) for r in found.collect()} == {("HLP", -1)}
+    assert versions.reconcile(ledger).isEmpty()
+
+
+def test_nights_that_actual_lacks_come_from_the_entries(spark, ledger, nights):
+    s, o = nights
+    stage(ledger, spark, s, o)
+    stored.run_incremental(ledger, day(12))
+    gone = spark.createDataFrame([("SRC", day(11))], "PROPERTY string, STAYING_DATE date")
+    ledger.delete_keys("booking_pace_actual", gone)
+    had, known = (versions.nights(ledger, t) for t in ("booking_pace_history", "booking_pace_actual"))
+    full = changes.actual_gaps(ledger.table("booking_pace_history"), ledger.table("booking_pace_actual"))
+    assert rows(changes.missing_keys(had, known, changes.NIGHT_KEY)) == rows(full) == [("SRC", day(11))]
+    stored.refresh_report_incremental(ledger, day(20))
+    assert rows(ledger.table("booking_pace_actual").filter("PROPERTY = 'SRC'"), "STAYING_DATE") == [(day(11),)]
+
+
+def test_rows_are_computed_once_and_emptied_days_go(spark, ledger):
+    ledger.append("booking_pace_detail", filters.otb(canonical_smile(smile(spark, *[("SRC", day(d), day(d), 1, at(d)) for d in (1, 2, 3)]))))
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    new = filters.otb(canonical_smile(smile(spark, ("SRC", day(1), day(9), 7, at(5)), ("SRC", day(4), day(9), 8, at(5)))))
+    new = new.mapInArrow(noted, new.schema)
+    keys = spark.createDataFrame([("SRC", day(d)) for d in (1, 2, 4, 5)], "PROPERTY string, REPORT_DATE date")
+    ledger.replace_keys("booking_pace_detail", keys, new)
+    assert rows(ledger.table("booking_pace_detail"), "REPORT_DATE", "N_OF_ROOM") == [(day(1), 7), (day(3), 1), (day(4), 8)]
+    assert seen.value == 2
+    assert sorted(ledger.files("booking_pace_detail")) == [day(1), day(3), day(4)]

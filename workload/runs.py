@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +17,10 @@ from stayledger.operators.canonical import (
 from stayledger.operators.marts import pace_report, pace_report_legacy
 from stayledger.plans import ledger as stored_runs
 from stayledger.plans import marts
-from stayledger.plans.audit import audit_summary
+from stayledger.plans.audit import audit_summary, audit_tables
 from stayledger.plans.rates import LAK_PAIRS, USD_PAIRS, lak_rates, refresh_rates, usd_rates
-from stayledger.sinks.tables import Ledger
+from stayledger.sinks.tables import TABLES, Ledger
+from stayledger.sinks.versions import versions
 from workload import views
 from workload.mutations import RATES_SQL, landed_json, stored
 from workload.projections import LEGACY_LABEL, LEGACY_SORT
@@ -330,6 +332,70 @@ def pipe_report_full_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tagged(report=ledger.table("booking_pace_report"), actual=ledger.table("booking_pace_actual"))
 
 
+@query("pipe_detail_incremental_stored", like="pipe_detail_incremental")
+def pipe_detail_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change list comes from the tables' day versions; only changed days are read and written."""
+    ledger, canon = _staged(spark, sf_dir)
+    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)))
+    ledger.append("booking_pace_history", views.hist(canon))
+    stored_runs.refresh_detail_incremental(ledger, TODAY)
+    return _tagged(detail=ledger.table("booking_pace_detail"), history=ledger.table("booking_pace_history"))
+
+
+@query("pipe_report_incremental_stored", like="pipe_report_incremental")
+def pipe_report_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changed days and missing nights come from the tables' day versions."""
+    ledger, canon = stored(spark, *_TABLES), views.canon(spark, sf_dir)
+    detail = filters.otb(canon)
+    ledger.append("booking_pace_detail", detail)
+    ledger.append("booking_pace_history", views.hist(canon))
+    ledger.append("booking_pace_report", pace_report(views.detail_old(detail)))
+    ledger.append("booking_pace_actual", views.actual_old(ledger.table("booking_pace_history")))
+    stored_runs.refresh_report_incremental(ledger, views.AS_OF)
+    return _tagged(report=ledger.table("booking_pace_report"), actual=ledger.table("booking_pace_actual"))
+
+
+_VERSION_COLS = "PROPERTY, {day} AS DAY, CAST(COUNT(*) AS BIGINT) AS NB_ROWS, MAX(MODIFIED_AT) AS MODIFIED_AT"
+
+
+@query(
+    "agg_day_versions",
+    f"""WITH {_BOTH}, {_KEYS}, n_detail AS ({_new_detail()})
+        SELECT 'booking_pace_detail' AS TABLE_NAME, {_VERSION_COLS.format(day='REPORT_DATE')} FROM n_detail GROUP BY PROPERTY, REPORT_DATE
+        UNION ALL
+        SELECT 'booking_pace_history', {_VERSION_COLS.format(day='STAYING')} FROM ({_NEW_HISTORY}) GROUP BY PROPERTY, STAYING""",
+)
+def agg_day_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the day versions say of detail and history: made before a run, brought up to date after it."""
+    ledger, canon = _staged(spark, sf_dir)
+    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)))
+    ledger.append("booking_pace_history", views.hist(canon))
+    stored_runs.refresh_detail_incremental(ledger, TODAY)
+    told = (
+        versions(ledger, t).select(F.lit(t).alias("TABLE_NAME"), "PROPERTY", F.col(TABLES[t].day).alias("DAY"), "NB_ROWS", "MODIFIED_AT")
+        for t in ("booking_pace_detail", "booking_pace_history")
+    )
+    return reduce(DataFrame.unionByName, told)
+
+
+_STORED_SUMMARY = """
+    SELECT MART, PROPERTY, MIN(DAY) AS MIN_DATE, MAX(DAY) AS MAX_DATE, CAST(COUNT(*) AS BIGINT) AS NB_ROWS,
+        CAST(COUNT(*) FILTER (DAY IS NULL) AS BIGINT) AS NULL_DATES, MAX(MODIFIED_AT) AS MODIFIED_AT
+    FROM (SELECT 'booking_pace_detail' AS MART, PROPERTY, REPORT_DATE AS DAY, MODIFIED_AT FROM detail
+          UNION ALL SELECT 'booking_pace_history', PROPERTY, CASE WHEN N_OF_ROOM > 5 THEN STAYING END, MODIFIED_AT FROM hist)
+    GROUP BY MART, PROPERTY
+"""
+
+
+@query("pipe_audit_stored", _STORED_SUMMARY)
+def pipe_audit_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of stored tables from their day versions; rows without a night are counted from their partition."""
+    ledger, canon = stored(spark, *_TABLES), views.canon(spark, sf_dir)
+    ledger.append("booking_pace_detail", filters.otb(canon))
+    ledger.append("booking_pace_history", views.hist(canon).withColumn("STAYING", F.when(F.col("N_OF_ROOM") > 5, F.col("STAYING"))))
+    return audit_tables(ledger, {"booking_pace_detail": "REPORT_DATE", "booking_pace_history": "STAYING"})
+
+
 @query("pipe_restore_history_stored", like="pipe_restore_history")
 def pipe_restore_history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger, canon = _staged(spark, sf_dir)
