@@ -43,7 +43,7 @@ DEPTH = WORDS + 1
 TOP = 2_000
 ABSORBED = 80
 # Windows a task holds before it builds its automata, and windows a range is meant to have.
-HELD = 500_000
+HELD = 1_000_000
 RANGE = 1_000_000
 # Sampled windows per range, and how many windows of a sampled text are passed over between two.
 DRAWN, STRIDE = 50, 64
