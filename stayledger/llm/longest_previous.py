@@ -11,9 +11,12 @@ The suffixes of all documents are not sorted as one; they are sorted in buckets
    The context of a selected gram is the union of the windows that hold it.
 2. Grams are grouped by hash, and by hash of the whole context.  Copies after the first of a whole context go at once:
    first inside a stretch of text, before anything is shuffled, then across the corpus.
-3. Where one gram is left with several contexts, their bytes are read, and their windows sorted as suffixes; LPF over
-   previous and next smaller positions marks the repeated ones.  Buckets of more than ``CROWD`` contexts are
-   dealt by window instead, so that no task holds a bucket that grows with the corpus.
+3. Where one gram is left with several contexts, their bytes are read and dealt by longer keys.  Equal windows with l bytes
+   left of the gram, and LEFT - l right of it, agree on these; in steps of ``STEP`` bytes each l belongs to one of four keys
+   (a steps left, the gram, 3 - a steps right: 81 bytes).  So a context gives at most four rows, each window in one of them.
+4. The windows of a bucket are sorted as suffixes; LPF over previous and next smaller positions marks the repeated ones.
+   A bucket of more than ``CROWD`` rows is cut into parts by hash; what is first in its part is told by the
+   smallest place per window over all parts, so that no task holds a bucket that grows with the corpus.
 
 Defined results: matches never cross documents; null and empty texts have nothing to remove; a null doc_id counts as the
 smallest; rows of one doc_id and text are one document and come back each; different texts under one doc_id are documents
@@ -35,6 +38,7 @@ from stayledger.llm.common import in_arrow, in_chunks, sized, stored
 LENGTH = 100
 GRAM = 24
 LEFT = LENGTH - GRAM
+STEP = LEFT // 4
 CROWD = 5_000
 # Bytes of a document handled at a time, and windows sorted at a time.
 SEGMENT = 4 << 20
@@ -200,67 +204,89 @@ def repeated(key: np.ndarray, doc: np.ndarray, body: np.ndarray, start: np.ndarr
 
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bytes of the contexts asked for; of crowded buckets, one digest per window."""
-    names = ["h", "doc_id", "body", "start", "bytes", "crowded"]
+    """Windows of the contexts asked for, as bytes, a row for each long key around the gram."""
+    names = ["key", "doc_id", "body", "start", "bytes"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+
+    def out(rows: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types)], names)
+
     for batch in in_chunks(batches, "text"):
         rows: list[list] = [[] for _ in names]
         for doc_id, text, body, asked in zip(*(batch.column(i).to_pylist() for i in range(4))):
             raw = _bytes(text)
             for one in asked:
-                a, b = one["start"], one["stop"]
-                if one["crowded"]:
-                    for s in range(a, b - LENGTH + 1):
-                        digest = hashlib.blake2b(raw[s : s + LENGTH], digest_size=16).digest()
-                        bucket = int.from_bytes(digest[:8], "little", signed=True)
-                        for column, x in zip(rows, (bucket, doc_id, body, s, digest, True)):
-                            column.append(x)
-                else:
-                    for column, x in zip(rows, (one["h"], doc_id, body, a, raw[a:b], False)):
+                at = one["anchor"]
+                for a in range(4):
+                    left = STEP * a
+                    first = max(one["start"], at - (left + STEP - 1 if a < 3 else LEFT))
+                    last = min(one["stop"] - LENGTH, at - left)
+                    if first > last:
+                        continue
+                    common = raw[at - left : at + GRAM + STEP * 3 - left]
+                    key = int.from_bytes(hashlib.blake2b(common, digest_size=8, salt=b"%d" % a).digest(), "little", signed=True)
+                    for column, x in zip(rows, (key, doc_id, body, first, raw[first : last + LENGTH])):
                         column.append(x)
             if len(rows[0]) > 50_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, _TYPES)], names)
+                yield out(rows)
                 rows = [[] for _ in names]
         if rows[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, _TYPES)], names)
-
-
-_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.bool_()]
+            yield out(rows)
+
+
+def _judged(rows: list[tuple]) -> pa.RecordBatch:
+    """Repeated windows of whole buckets as intervals; those of crowded buckets that are first in their part, by digest."""
+    keys, docs, bodies, starts, views, crowds = [], [], [], [], [], []
+    for rank, (_, doc, body, at, raw, crowded) in rows:
+        view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, dtype=np.uint8), LENGTH)
+        views.append(view)
+        for column, x in zip((keys, docs, bodies, crowds), (rank, doc, body, crowded)):
+            column.append(np.full(len(view), x))
+        starts.append(np.arange(at, at + len(view)))
+    key, doc, body, start, crowded = (np.concatenate(x) for x in (keys, docs, bodies, starts, crowds))
+    window = np.concatenate(views)
+    order = np.lexsort((start, body, doc))
+    key, doc, body, start, crowded, window = (x[order] for x in (key, doc, body, start, crowded, window))
+    gone = np.sort(repeated(key, doc, body, start, window))
+    # Runs of neighbouring windows become one interval.
+    d, t, s = doc[gone], body[gone], start[gone]
+    turns = (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (s[1:] > s[:-1] + 1)
+    new = np.flatnonzero(np.r_[True, turns]) if len(d) else np.zeros(0, int)
+    end = np.r_[new[1:] - 1, len(d) - 1] if len(d) else new
+    open_ = crowded.copy()
+    open_[gone] = False
+    left = np.flatnonzero(open_)
+    digests = [None] * len(new) + [hashlib.blake2b(window[i].tobytes(), digest_size=16).digest() for i in left]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.r_[d[new], doc[left]], pa.int64()), pa.array(np.r_[t[new], body[left]], pa.int64()),
+         pa.array(np.r_[s[new], start[left]].astype(np.int32)),
+         pa.array(np.r_[s[end] + LENGTH, start[left] + LENGTH].astype(np.int32)), pa.array(digests, pa.binary())],
+        ["doc_id", "body", "start", "stop", "digest"],
+    )
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by bucket: sort the windows of whole buckets, some ``WINDOWS`` at a time."""
-    held: list[tuple[int, int, int, int, bytes]] = []
-    count = 0
-
-    def flush(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
-        keys, docs, bodies, starts, views = [], [], [], [], []
-        for h, doc, body, at, raw in rows:
-            view = np.lib.stride_tricks.sliding_window_view(np.frombuffer(raw, dtype=np.uint8), LENGTH)
-            views.append(view)
-            keys.append(np.full(len(view), h)), docs.append(np.full(len(view), doc)), bodies.append(np.full(len(view), body))
-            starts.append(np.arange(at, at + len(view)))
-        key, doc, body, start = (np.concatenate(x) for x in (keys, docs, bodies, starts))
-        gone = np.sort(repeated(key, doc, body, start, np.concatenate(views)))
-        # Runs of neighbouring windows of one context become one interval.
-        d, t, s = doc[gone], body[gone], start[gone]
-        turns = (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (s[1:] != s[:-1] + 1)
-        new = np.flatnonzero(np.r_[True, turns]) if len(d) else np.zeros(0, int)
-        end = np.r_[new[1:] - 1, len(d) - 1] if len(d) else new
-        return pa.RecordBatch.from_arrays(
-            [pa.array(d[new], pa.int64()), pa.array(t[new], pa.int64()),
-             pa.array(s[new].astype(np.int32)), pa.array((s[end] + LENGTH).astype(np.int32))],
-            ["doc_id", "body", "start", "stop"],
-        )
-
+    """Rows sorted by (key, part): sort the windows of whole buckets, some ``WINDOWS`` at a time."""
+    held: list[tuple] = []
+    count = rank = 0
+    before = None
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
-            if held and count >= WINDOWS and row[0] != held[-1][0]:
-                yield flush(held)
-                held, count = [], 0
-            held.append(row)
+        key, part = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 6))
+        # A row alone in its bucket repeats nothing; the first and last of a batch may have company outside.
+        cut = (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+        alone = np.r_[False, cut] & np.r_[cut, False] & ~batch.column(5).to_numpy(zero_copy_only=False)
+        batch = batch.filter(pa.array(~alone))
+        for *row, part in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            if (row[0], part) != before:
+                before = (row[0], part)
+                rank += 1
+                if count >= WINDOWS:
+                    yield _judged(held)
+                    held, count = [], 0
+            held.append((rank, row))
             count += max(len(row[4]) - LENGTH + 1, 0)
     if held:
-        yield flush(held)
+        yield _judged(held)
 
 
 def _bodies(docs: DataFrame) -> DataFrame:
@@ -289,39 +315,48 @@ def intervals(bodies: DataFrame) -> DataFrame:
     one_gram = Window.partitionBy("h")
     ranked = grams.withColumn("copy", F.rank().over(one_context))
     # rank() leaves repeated rows at 1: they are the same place.
-    ranked = ranked.withColumns({
-        "low": F.min("c").over(one_gram), "top": F.max("c").over(one_gram),
-        "crowd": F.sum(F.when(F.col("copy") == 1, 1).otherwise(0)).over(one_gram),
-    })
+    ranked = ranked.withColumns({"low": F.min("c").over(one_gram), "top": F.max("c").over(one_gram)})
     several = (F.col("anchor") >= 0) & (F.col("copy") == 1) & (F.col("low") != F.col("top"))
     gone = (F.col("anchor") < 0) | (F.col("copy") > 1)
     kept = (
         ranked.where((F.col("stop") - F.col("start") >= LENGTH) & (gone | several))
-        .select("h", "doc_id", "body", "start", "stop", gone.alias("gone"), (F.col("crowd") > CROWD).alias("crowded"))
+        .select("doc_id", "body", "start", "stop", "anchor", gone.alias("gone"))
     )
     kept = stored(kept, "contexts")
     asked = (
         kept.where("NOT gone")
         .groupBy(F.col("doc_id").alias("a_id"), F.col("body").alias("a_body"))
-        .agg(F.collect_set(F.struct("h", "start", "stop", "crowded")).alias("asked"))
+        .agg(F.collect_set(F.struct("start", "stop", "anchor")).alias("asked"))
     )
     read = in_arrow(
         bodies.join(asked, (F.col("doc_id") == F.col("a_id")) & (F.col("body") == F.col("a_body")))
         .select("doc_id", "text", "body", "asked"),
         _contexts,
-        "h bigint, doc_id bigint, body bigint, start int, bytes binary, crowded boolean",
+        "key bigint, doc_id bigint, body bigint, start int, bytes binary",
     )
     read = stored(read, "windows")
-    plain = read.where("NOT crowded").repartition("h").sortWithinPartitions("h", "doc_id", "body", "start")
-    sorted_out = plain.mapInArrow(_suffixes, "doc_id bigint, body bigint, start int, stop int")
-    by_digest = Window.partitionBy("bytes").orderBy("doc_id", "body", "start")
-    dealt = (
-        read.where("crowded")
-        .withColumn("copy", F.rank().over(by_digest))
-        .where(F.col("copy") > 1)
-        .select("doc_id", "body", "start", (F.col("start") + LENGTH).alias("stop"))
+    crowded = read.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n")).where(F.col("n") > CROWD)
+    parts = F.ceil(F.col("n") / F.lit(CROWD))
+    dealt = read.join(sized(stored(crowded, "crowded-keys")), F.col("key") == F.col("k"), "left").select(
+        *read.columns,
+        F.col("n").isNotNull().alias("crowded"),
+        F.coalesce(F.pmod(F.xxhash64("doc_id", "body", "start"), parts), F.lit(0)).cast("int").alias("part"),
+    )
+    dealt = dealt.repartition("key", "part").sortWithinPartitions("key", "part")
+    judged = stored(
+        dealt.mapInArrow(_suffixes, "doc_id bigint, body bigint, start int, stop int, digest binary"), "judged"
+    )
+    # Of a window of a crowded bucket each part leaves one copy at most.
+    place = F.struct("doc_id", "body", "start")
+    left = judged.where("digest IS NOT NULL")
+    firsts = left.groupBy(F.col("digest").alias("d")).agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
+    later = left.join(sized(stored(firsts, "first-windows")), F.col("digest") == F.col("d")).where(place > F.col("first"))
+    names = ["doc_id", "body", "start", "stop"]
+    return (
+        kept.where("gone").select(names)
+        .unionByName(judged.where("digest IS NULL").select(names))
+        .unionByName(later.select(names))
     )
-    return kept.where("gone").select("doc_id", "body", "start", "stop").unionByName(sorted_out).unionByName(dealt)
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
