@@ -26,7 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import in_arrow, in_chunks, sized, stored
+from stayledger.llm.common import fresh, in_arrow, in_chunks, sized, stored
 
 WINDOW = 10
 CHUNK = 100_000
@@ -212,11 +212,12 @@ def n_hit(spans: str = "spans"):
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents without any window of the benchmark; columns as given."""
+    hit_id, hit_hash = fresh("id"), fresh("hash")
     hit = (
         _found(docs, benchmark)
         .where(F.size("spans") > 0)
-        .select(F.col("doc_id").alias("hit_id"), F.col("body_hash").alias("hit_hash"))
+        .select(F.col("doc_id").alias(hit_id), F.col("body_hash").alias(hit_hash))
         .distinct()
     )
-    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col("hit_id")) & (_body_hash() == F.col("hit_hash"))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(hit_id)) & (_body_hash() == F.col(hit_hash))
     return docs.join(hit, same, "left_anti")

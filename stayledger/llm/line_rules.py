@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import SPACE, stored, words
+from stayledger.llm.common import SPACE, fresh, stored, words
 
 MIN_DOCS = 20
 SHARE = 0.05
@@ -162,22 +162,23 @@ def judge(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE, keep:
 
 def clean(docs: DataFrame, **limits: float) -> DataFrame:
     """The documents that are kept, without the lines above the limits; columns as given."""
+    j_id, j_host, j_hash, j_places, own = (fresh(x) for x in ("id", "host", "hash", "places", "own"))
     verdict = (
         judge(docs, **limits)
         .where("kept")
-        .select(F.col("doc_id").alias("j_id"), F.col("host").alias("j_host"), F.col("body_hash").alias("j_hash"),
-                F.col("cut_places").alias("j_places"))
-        .dropDuplicates(["j_id", "j_host", "j_hash"])
+        .select(F.col("doc_id").alias(j_id), F.col("host").alias(j_host), F.col("body_hash").alias(j_hash),
+                F.col("cut_places").alias(j_places))
+        .dropDuplicates([j_id, j_host, j_hash])
     )
     body = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.withColumn("j_body", F.xxhash64(body)).join(
+    joined = docs.withColumn(own, F.xxhash64(body)).join(
         verdict,
-        F.col("doc_id").eqNullSafe(F.col("j_id"))
-        & F.col("source").eqNullSafe(F.col("j_host"))
-        & (F.col("j_body") == F.col("j_hash")),
+        F.col("doc_id").eqNullSafe(F.col(j_id))
+        & F.col("source").eqNullSafe(F.col(j_host))
+        & (F.col(own) == F.col(j_hash)),
     )
     rest = F.array_join(
-        F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains("j_places", i)), "\n"
+        F.filter(F.split("text", "\n", -1), lambda line, i: ~F.array_contains(j_places, i)), "\n"
     )
-    text = F.when(F.size("j_places") > 0, rest).otherwise(F.col("text"))
+    text = F.when(F.size(j_places) > 0, rest).otherwise(F.col("text"))
     return joined.withColumns({"text": text, "n_chars": F.length(text).cast("bigint")}).select(*docs.columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import BROADCAST_ROWS, gated, located, masked, sized, stored, tagged
+from stayledger.llm.common import BROADCAST_ROWS, fresh, gated, located, masked, sized, stored, tagged
 
 NEAR = 60
 SUPPORT = 3
@@ -190,28 +190,29 @@ def find(docs: DataFrame, **limits: float) -> tuple[DataFrame, DataFrame]:
 def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
     """Documents with entities replaced by their kind, and disclosing terms by ``[TERM]`` or nothing; columns as given."""
     spans, terms = find(docs, support=support, threshold=generalise)
+    s_id, s_hash, s_spans, own, l_id, l_hash, l_terms = (fresh(x) for x in ("id", "hash", "spans", "own", "l_id", "l_hash", "terms"))
     marked = (
         spans.where(F.size("spans") > 0)
-        .select(F.col("doc_id").alias("s_id"), F.col("body_hash").alias("s_hash"), F.col("spans").alias("s_spans"))
-        .dropDuplicates(["s_id", "s_hash"])
+        .select(F.col("doc_id").alias(s_id), F.col("body_hash").alias(s_hash), F.col("spans").alias(s_spans))
+        .dropDuplicates([s_id, s_hash])
     )
     strong = terms.where(F.col("disclosure") >= remove).select("term")
-    with_text = docs.withColumn("s_body", F.xxhash64(F.coalesce("text", F.lit("")))).join(
-        marked, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("s_body") == F.col("s_hash")), "left"
+    with_text = docs.withColumn(own, F.xxhash64(F.coalesce("text", F.lit("")))).join(
+        marked, F.col("doc_id").eqNullSafe(F.col(s_id)) & (F.col(own) == F.col(s_hash)), "left"
     )
     # The strong terms that stand in a row, as a list beside it.
     listed = (
         doc_terms(docs)
         .join(sized(stored(strong, "strong")), "term", "left_semi")
-        .groupBy(F.col("doc_id").alias("l_id"), F.col("body_hash").alias("l_hash"))
-        .agg(F.collect_set("term").alias("gone"))
+        .groupBy(F.col("doc_id").alias(l_id), F.col("body_hash").alias(l_hash))
+        .agg(F.collect_set("term").alias(l_terms))
     )
     with_text = with_text.join(
-        listed, F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("s_body") == F.col("l_hash")), "left"
+        listed, F.col("doc_id").eqNullSafe(F.col(l_id)) & (F.col(own) == F.col(l_hash)), "left"
     )
-    gone = F.coalesce("gone", F.array().cast("array<string>"))
+    gone = F.coalesce(l_terms, F.array().cast("array<string>"))
     masks = F.transform(
-        "s_spans",
+        s_spans,
         lambda s: F.struct(
             s["start"].alias("start"),
             s["end"].alias("end"),
@@ -224,5 +225,5 @@ def sanitise(docs: DataFrame, generalise: float = GENERALISE, remove: float = RE
             .alias("mask"),
         ),
     )
-    text = F.when(F.col("s_spans").isNotNull(), masked(F.col("text"), masks)).otherwise(F.col("text"))
+    text = F.when(F.col(s_spans).isNotNull(), masked(F.col("text"), masks)).otherwise(F.col("text"))
     return with_text.withColumns({"text": text, "n_chars": F.length(text).cast("bigint")}).select(*docs.columns)

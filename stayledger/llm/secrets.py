@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import gated, located, masked, stored, tagged
+from stayledger.llm.common import fresh, gated, located, masked, stored, tagged
 
 _KEY = r"(?i:password|passwd|secret|token|api_?key)"
 _ASSIGN = _KEY + r"[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
@@ -105,8 +105,8 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, paths: DataFrame | No
 def findings(docs: DataFrame, ledger: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(doc_id, blob, sorted spans of every row; the ledger with the new entries)."""
     paths = stored(versions(docs), "versions")
-    fresh = stored(scan(docs, ledger, paths), "ledger")
-    book = fresh if ledger is None else ledger.select(*fresh.columns).unionByName(fresh)
+    entries = stored(scan(docs, ledger, paths), "ledger")
+    book = entries if ledger is None else ledger.select(*entries.columns).unionByName(entries)
     hits = (
         book.where(F.size("spans") > 0)
         .where(" OR ".join(f"(kind = '{k}' AND version = {v})" for k, (_, v) in RULES.items()))
@@ -121,15 +121,16 @@ def findings(docs: DataFrame, ledger: DataFrame | None = None) -> tuple[DataFram
 
 def redact(docs: DataFrame, ledger: DataFrame | None = None, mask: str = MASK) -> DataFrame:
     """Documents with every span found replaced by the mask; columns as given."""
+    f_blob, f_spans, own = (fresh(x) for x in ("blob", "spans", "own"))
     hits = (
         findings(docs, ledger)[0]
         .where(F.size("spans") > 0)
-        .select(F.col("blob").alias("f_blob"), F.col("spans").alias("f_spans"))
-        .dropDuplicates(["f_blob"])
+        .select(F.col("blob").alias(f_blob), F.col("spans").alias(f_spans))
+        .dropDuplicates([f_blob])
     )
-    joined = docs.withColumn("d_blob", blob_id(F.col("text"))).join(hits, F.col("d_blob") == F.col("f_blob"), "left")
+    joined = docs.withColumn(own, blob_id(F.col("text"))).join(hits, F.col(own) == F.col(f_blob), "left")
     marked = F.transform(
-        "f_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(mask).alias("mask"))
+        f_spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(mask).alias("mask"))
     )
-    text = F.when(F.col("f_spans").isNotNull(), masked(F.col("text"), marked)).otherwise(F.col("text"))
+    text = F.when(F.col(f_spans).isNotNull(), masked(F.col("text"), marked)).otherwise(F.col("text"))
     return joined.withColumns({"text": text, "n_chars": F.length(text).cast("bigint")}).select(*docs.columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stayledger.llm.common import in_arrow, in_chunks, stored
+from stayledger.llm.common import fresh, in_arrow, in_chunks, stored
 from stayledger.llm.components import components
 
 MAX_BITS = 4
@@ -193,16 +193,17 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One row of each group, that of the smallest doc_id and of its texts the one of the smallest hash; columns as given.
 
     A row with a null doc_id is kept only where its group has no other; groups of null doc_ids only keep one row each."""
+    own, first_id, first_hash = (fresh(x) for x in ("own", "first_id", "first_hash"))
     firsts = (
         _grouped(docs)
         .where(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("root")
-        .agg(F.min("component_id").alias("first_id"), F.min("body_hash").alias("first_hash"))
-        .select("first_id", "first_hash")
+        .agg(F.min("component_id").alias(first_id), F.min("body_hash").alias(first_hash))
+        .select(first_id, first_hash)
     )
-    joined = docs.withColumn("own_hash", _body_hash()).join(
+    joined = docs.withColumn(own, _body_hash()).join(
         firsts,
-        F.col("doc_id").cast("bigint").eqNullSafe(F.col("first_id")) & (F.col("own_hash") == F.col("first_hash")),
+        F.col("doc_id").cast("bigint").eqNullSafe(F.col(first_id)) & (F.col(own) == F.col(first_hash)),
         "left_semi",
     )
-    return joined.dropDuplicates(["doc_id", "own_hash"]).select(*docs.columns)
+    return joined.dropDuplicates(["doc_id", own]).select(*docs.columns)
