@@ -5,6 +5,9 @@ of words and link density, those of its neighbours, and whether it stands in an
 furniture is marked with (menu, header, footer, sidebar, notice, advert, form, comments: by tag, role, class or id).  The
 tree is trained on ``LABELLED``, a small table of blocks labelled by hand.
 
+A form or dialog is layout rather than furniture if no article stands outside such elements and it holds an article, or, being
+a form outside articles, at least three quarters of the words that are neither links nor other furniture.
+
 Defined results: null, empty and textless pages give the empty text; broken markup is read as far as it goes (a tag that
 never ends is text; an element without text that never ends stops at the next block tag, code at the end); repeated rows are extracted each; an empty table gives an empty result; other columns are not read.
 """
@@ -74,8 +77,10 @@ _BLOCK = frozenset(
     " textarea tfoot th thead tr ul".split()
 )
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_FURNITURE_TAGS = frozenset("nav footer aside form menu button select textarea dialog label option".split())
-_FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+_FURNITURE_TAGS = frozenset("nav footer aside menu button select textarea label option".split())
+_FURNITURE_ROLES = frozenset("navigation banner contentinfo complementary search alert menu menubar".split())
+# Tags and roles that may also stand around a whole page.
+_WRAPPERS = frozenset("form dialog".split())
 _FURNITURE_NAMES = re.compile(
     r"(?:^|[_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|nav\w*|menu\w*|header|masthead|footer|sidebar\w*|aside|notices?|"
     r"alerts?|banner\w*|cookies?|consent|comments?|replies|disqus|respond|form|newsletter|subscri\w*|login|signup|share|sharing|"
@@ -88,6 +93,14 @@ _MODIFIER = re.compile(
     r"|(?:entry|post|article|story|content)[_-]+header",
     re.I,
 )
+# Inside an article these words tell furniture at the end of a name, or before words for its parts.
+_EVERYDAY = re.compile(r"(?:social\w*|shar(?:e|ing)|forms?|menu\w*|nav\w*|notices?|alerts?|banner\w*)", re.I)
+_PARTS = re.compile(
+    r"(?:links?|buttons?|btns?|icons?|bars?|lists?|items?|box|blocks?|posts?|section|container|wrap|wrapper|inner|outer|widgets?|"
+    r"media|area|tools?|panel|row|count|counts?|follow|top|bottom|left|right|main|body|group|field|fields|control|controls|\d*)",
+    re.I,
+)
+_LAYOUT = re.compile(r"(?:^|[_-])layout(?:$|[_-])", re.I)
 _SIDED = re.compile(r"(?:left|right)[_-].*|.*[_-](?:left|right)", re.I)
 _HEADER = re.compile(r"(?:.*[_-])?(?:header|masthead)(?:[_-].*)?", re.I)
 # Names of lists of other texts: an article inside them is one of these.
@@ -106,14 +119,23 @@ _SPACE = re.compile(r"\s+")
 _NONE, _NAME, _SURE = 0, 1, 2
 
 
+def _topic(token: str) -> bool:
+    """Whether a name in an article tells what it is about (``social-science``) rather than furniture (``social-links``)."""
+    parts = re.split(r"[_-]+", token)
+    if any(_FURNITURE_NAMES.search(part) and not _EVERYDAY.fullmatch(part) for part in parts):
+        return False
+    at = max((i for i, part in enumerate(parts) if _EVERYDAY.fullmatch(part)), default=-1)
+    return at >= 0 and not all(_PARTS.fullmatch(part) for part in parts[at + 1 :])
+
+
 def _furniture_name(name: str, value: str, in_article: bool) -> int:
     kind = _NONE
     for token in value.split():
         if not _FURNITURE_NAMES.search(token) or _MODIFIER.fullmatch(token):
             continue
-        if name == "class" and _SIDED.fullmatch(token) or in_article and _HEADER.fullmatch(token):
+        if name == "class" and _SIDED.fullmatch(token) or in_article and (_HEADER.fullmatch(token) or _topic(token)):
             continue
-        kind = max(kind, _SURE if _OTHERS.search(token) else _NAME)
+        kind = max(kind, _SURE if _OTHERS.search(token) and not _LAYOUT.search(token) else _NAME)
     return kind
 
 
@@ -132,6 +154,8 @@ def _furniture(tag: str, attributes: str, in_article: bool) -> int:
         if name == "role" and value.lower() in _FURNITURE_ROLES:
             return _SURE
         if name in ("class", "id"):
+            if tag == "form":  # that it is one says nothing yet
+                value = re.sub(r"(?<![^\s_-])form(?![^\s_-])", "", value, flags=re.I)
             kind = max(kind, _furniture_name(name, value, in_article))
     return kind
 
@@ -152,15 +176,48 @@ def _after_raw(page: str, tag: str, attributes: str, at: int, stops: dict[str, t
     return following.start() if following else len(page)
 
 
+def _wraps(tag: str, attributes: str) -> bool:
+    """Whether an element is a form or a dialog by tag or role."""
+    return tag in _WRAPPERS or any(
+        name.lower() == "role" and (a or b or c).strip().lower() in _WRAPPERS for name, a, b, c in _NAMED.findall(attributes)
+    )
+
+
 _BLOCK_TAG = re.compile(rf"</?(?:{'|'.join(sorted(_BLOCK, key=len, reverse=True))})(?=[\s/>])", re.I)
 
 
+_MAIN, _ARTICLE = 1, 2
+
+
+def _layouts(wrappers: list[list[int]], found: list[tuple[str, int, int, bool, int, int]]) -> list[bool]:
+    """Of each form or dialog (around, whether a form outside articles, whether it holds an article): is it layout, as all around it?"""
+    free = [0] * (len(wrappers) + 1)  # the last for blocks outside
+    apart = 0
+    for _, n, links, furniture, article, wrapper in found:
+        if not furniture:
+            free[wrapper] += n - links
+            if wrapper < 0 and article == _ARTICLE:
+                apart += n - links
+    total = sum(free)
+    for i in range(len(wrappers) - 1, -1, -1):
+        around = wrappers[i][0]
+        if around >= 0:
+            free[around] += free[i]
+            wrappers[around][2] |= wrappers[i][2]
+    out: list[bool] = []
+    for i, (around, form, holds) in enumerate(wrappers):
+        own = not apart and bool(holds or form and free[i] and 4 * free[i] >= 3 * total)
+        out.append(own and (around < 0 or out[around]))
+    return out
+
+
 def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
     """(text, words, words in links, furniture, article) of each block with text, in page order."""
-    out: list[tuple[str, int, int, bool, bool]] = []
-    # Open elements: tag, kind of furniture, article, link; each inherits from the one around it.
-    stack: list[tuple[str, int, bool, bool]] = [("", _NONE, False, False)]
+    out: list[tuple[str, int, int, bool, int, int]] = []
+    # Open elements: tag, kind of furniture, main or article, link, form or dialog; each inherits from the one around it.
+    stack: list[tuple[str, int, int, bool, int]] = [("", _NONE, 0, False, -1)]
     stops: dict[str, tuple[int, int]] = {}
+    wrappers: list[list[int]] = []
     opened: Counter = Counter()
     pieces: list[str] = []
     linked = 0
@@ -171,7 +228,7 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
         text = _SPACE.sub(" ", "".join(pieces)).strip()
         if text:
             n = len(text.split(" "))
-            out.append((text, n, min(linked, n), state[1] > _NONE, state[2]))
+            out.append((text, n, min(linked, n), state[1] > _NONE, state[2], state[4]))
         pieces.clear()
         linked = 0
 
@@ -182,6 +239,8 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
 
     def text_of(raw: str) -> None:
         nonlocal linked
+        if stack[-1][4] >= 0 and (opened["label"] or opened["button"]):
+            return  # captions of a form stand inside its blocks
         text = entities.unescape(raw)
         pieces.append(text)
         if stack[-1][3]:
@@ -221,14 +280,24 @@ def blocks(page: str) -> list[tuple[str, int, int, bool, bool]]:
                 if opened[one] and (one == "p" or stack[-1][0] == one):
                     pop_to(one)
             above = stack[-1]
-            article = above[2] or tag in ("article", "main")
+            article = max(above[2], _ARTICLE if tag == "article" else _MAIN if tag == "main" else 0)
             # The first article or main sheds the names of the layout around it.
             around = _NONE if article and not above[2] and above[1] == _NAME else above[1]
-            stack.append((tag, max(around, _furniture(tag, attributes, above[2])), article, above[3] or tag == "a"))
+            kind, wrapper = max(around, _furniture(tag, attributes, above[2] > 0)), above[4]
+            if wrapper >= 0 and article and not above[2] and kind == _NONE:
+                wrappers[wrapper][2] = 1
+            if _wraps(tag, attributes) and not (tag == "form" and opened[tag]):  # a form in a form is none
+                wrappers.append([wrapper, int(tag == "form" and above[2] < _ARTICLE), 0])
+                wrapper = len(wrappers) - 1
+            stack.append((tag, kind, article, above[3] or tag == "a", wrapper))
             opened[tag] += 1
         state = stack[-1]
     close()
-    return out
+    layout = _layouts(wrappers, out)
+    return [
+        (text, n, links, furniture or wrapper >= 0 and not layout[wrapper], article > 0)
+        for text, n, links, furniture, article, wrapper in out
+    ]
 
 
 def described(found: list[tuple[str, int, int, bool, bool]]) -> list[list[float]]:
