@@ -78,29 +78,44 @@ class Segmenter:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.reach: dict[str, int] = {}
+        # Lengths of the longer pieces by their last three characters, and of all pieces with an ending, longest first.
+        self.longer: dict[str, set[int]] = {}
         for piece in vocabulary.pieces:
-            for end in {piece[-2:], piece[-1:]}:
-                self.reach[end] = max(self.reach.get(end, 1), len(piece))
+            if len(piece) > 2:
+                self.longer.setdefault(piece[-3:], set()).add(len(piece))
+        self.lengths: dict[str, tuple[int, ...]] = {}
         self.word, self.best, self.back = "", [0.0], [(0, -1)]
         self.steps = 0
 
+    def _lengths(self, ending: str) -> tuple[int, ...]:
+        """Lengths that a piece at the end of ``ending`` (up to three characters) may have."""
+        if len(self.lengths) > CACHE_WORDS:
+            self.lengths = {}
+        short = [n for n in (2, 1) if len(ending) >= n and ending[-n:] in self.vocabulary.pieces]
+        found = self.lengths[ending] = (*sorted(self.longer.get(ending, ()), reverse=True), *short)
+        return found
+
     def encode(self, word: str) -> list[int]:
         v, best, back, last = self.vocabulary, self.best, self.back, self.word
         shared, most = 0, min(len(word), len(last))
         while shared < most and word[shared] == last[shared]:
             shared += 1
         del best[shared + 1 :], back[shared + 1 :]
-        get, reach = v.pieces.get, self.reach.get
+        get = v.pieces.get
         for end in range(shared + 1, len(word) + 1):
             top, entry = -math.inf, None
-            # No piece with this ending is longer than its reach.
-            for start in range(max(0, end - reach(word[max(0, end - 2) : end], 1)), end):
-                hit = get(word[start:end])
-                if hit is not None and best[start] + hit[1] > top:
-                    top, entry = best[start] + hit[1], (start, hit[0])
+            ending = word[end - 3 if end > 3 else 0 : end]
+            lengths = self.lengths.get(ending)
+            if lengths is None:
+                lengths = self._lengths(ending)
+            for length in lengths:
+                if length <= end:
+                    start = end - length
+                    hit = get(word[start:end])
+                    if hit is not None and best[start] + hit[1] > top:
+                        top, entry = best[start] + hit[1], (start, hit[0])
             # Bytes score below any piece, so they matter only where no piece is the last character.
-            if word[end - 1] not in v.pieces:
+            if not lengths or lengths[-1] != 1:
                 spelled = best[end - 1] + v.byte_score * len(word[end - 1].encode())
                 if spelled > top:
                     top, entry = spelled, (end - 1, -1)
@@ -124,6 +139,7 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.segmenter = Segmenter(vocabulary)
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -131,8 +147,7 @@ class Encoder:
         if len(self.known) > CACHE_WORDS:
             self.known = {}
         new = set().union(*split).difference(self.known) if split else set()
-        segmenter = Segmenter(self.vocabulary)
-        ids = {w: array("i", segmenter.encode(w)).tobytes() for w in sorted(new)}
+        ids = {w: array("i", self.segmenter.encode(w)).tobytes() for w in sorted(new)}
         self.known.update(ids)
         out = [b"".join(map(self.known.__getitem__, ws)) for ws in split]
         for w in [w for w in new if len(w) > CACHE_CHARS]:
