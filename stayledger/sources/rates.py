@@ -46,27 +46,33 @@ def normalise_usd(rates: DataFrame) -> DataFrame:
     )
 
 
-def _text(html: Column) -> Column:
-    """Visible text of a cell's markup."""
-    plain = F.regexp_replace(html, r"(?s)<[^>]*>", " ")
+def _text(inner: Column) -> Column:
+    """Visible text of a cell's markup, given without its own tags."""
+    # A tag that is not closed ends with the cell's end tag.  Few cells hold tags or entities; the others are spared the replacements.
+    plain = F.when(inner.contains("<"), F.regexp_replace(F.concat(inner, F.lit("</td>")), r"(?s)<[^>]*>", " ")).otherwise(inner)
     resolved = plain
     for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&amp;", "&")):
         resolved = F.replace(resolved, F.lit(entity), F.lit(char))
-    # Few cells hold an entity; the others are spared the replacements.
-    text = F.when(html.contains("&"), resolved).otherwise(plain)
+    text = F.when(inner.contains("&"), resolved).otherwise(plain)
     return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
+_CELL = r"(?is)<t[hd]\b[^>]*>(.*?)</t[hd]>"
+
+
 def _cells(row: Column) -> Column:
     """Cell texts of one table row, a spanning cell repeated over its columns."""
-    cells = F.regexp_extract_all(row, F.lit(r"(?is)<t[hd]\b[^>]*>.*?</t[hd]>"), F.lit(0))
+
+    def texts(group: int, then: Callable[[Column], Column]) -> Column:
+        return F.transform(F.regexp_extract_all(row, F.lit(_CELL), F.lit(group)), then)
 
     def spread(cell: Column) -> Column:
         span = F.regexp_extract(cell, r"""(?is)^<t[hd]\b[^>]*\bcolspan\s*=\s*["']?(\d+)""", 1).try_cast("int")
         width = F.when(F.lower(cell).contains("colspan"), F.greatest(F.coalesce(span, F.lit(1)), F.lit(1))).otherwise(1)
-        return F.array_repeat(_text(cell), width)
+        return F.array_repeat(_text(F.regexp_extract(cell, _CELL, 1)), width)
 
-    return F.flatten(F.transform(cells, spread))
+    # Few rows have a spanning cell; of the others only what the cells hold is looked at.
+    return F.when(F.lower(row).contains("colspan"), F.flatten(texts(0, spread))).otherwise(texts(1, _text))
 
 
 def _once(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -89,14 +95,14 @@ def explode_html(pages: DataFrame, html: str = "HTML") -> DataFrame:
     keep = [c for c in pages.columns if c != html]
     first_table = F.regexp_extract(F.col(html), r"(?is)<table\b[^>]*>(.*?)</table>", 1)
     rows = F.regexp_extract_all(first_table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-    # The header is taken once per page; the rows are exploded as markup and each
-    # one's cells are then taken apart once.
+    # The header is taken once per page; the rows are exploded as markup and each one's cells are then taken apart once: as
+    # filters do not move below them, the outer explodes keep the texts from being worked out again for each filter.
     exploded = (
         pages.select(*keep, rows.alias("_rows"))
         .withColumn("HEADER", _once(_cells(F.get("_rows", F.lit(0))), _numbered))
-        .select(*keep, "HEADER", F.posexplode("_rows").alias("_row", "_html"))
+        .select(*keep, "HEADER", F.posexplode_outer("_rows").alias("_row", "_html"))
     )
-    return exploded.filter(F.col("_row") > 0).select(*keep, "HEADER", _cells(F.col("_html")).alias("CELLS"))
+    return exploded.filter(F.col("_row") > 0).select(*keep, "HEADER", F.explode_outer(F.array(_cells(F.col("_html")))).alias("CELLS"))
 
 
 def normalise_lak(rows: DataFrame, pairs: tuple[str, ...] = LAK_PAIRS) -> DataFrame:

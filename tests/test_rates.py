@@ -75,3 +75,17 @@ def test_command_line_runs_the_marts(spark, ledger):
     assert rows(ledger.table("booking_pace_actual"), "TOTAL_ROOM") == [(2,)]
     run(parser().parse_args(["-t", "restore_history", "--start_date", "2025-08-01", "--end_date", "2025-08-02", *base]), spark)
     assert rows(ledger.table("booking_pace_actual"), "TOTAL_ROOM") == [(2,)]
+
+
+def test_pages_are_taken_apart_once(spark):
+    from stayledger.plans.rates import lak_rates
+
+    page = PAGE.replace("21.610", "<b>21.610</b>").replace("0.82", "&nbsp;0.82 <i").replace("<td>0.85", "<TD colspan=1>\n0.85")
+    pages = spark.createDataFrame([(date(2025, 7, 26), p) for p in (page, None, "", "<table></table>")], "REPORT_DATE date, HTML string")
+    stamped = pages.selectExpr("*", "TIMESTAMP_NTZ'2025-07-26 09:00:00' AS CREATED_AT", "TIMESTAMP_NTZ'2025-07-26 09:00:00' AS MODIFIED_AT")
+    rates = lak_rates(stamped)
+    got = rows(rates, "FROM_CURRENCY_CODE", "BUY_TRANSFER", "SELL_CASH")
+    assert got == [("USD", Decimal("21610.0000"), Decimal("21650.0000")), ("VND", Decimal("0.8200"), Decimal("0.8500"))]
+    # No filter works a text out that the columns need anyway.
+    plan = rates._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "regexp" in line]

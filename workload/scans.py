@@ -307,7 +307,9 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         row("THB/LAK", F.lit("1"), F.lit("2"), F.lit("3"), F.lit("4")),
         F.lit("</table><table><tr><td>other</td></tr></table></body></html>"),
     )
-    return _payload_number(spark, sf_dir).select(
+    # A page is many times the event it is made from, so that the events' few splits are dealt over all cores.
+    events = _payload_number(spark, sf_dir).repartition(4 * spark.sparkContext.defaultParallelism)
+    return events.select(
         "event_id",
         F.to_date("ts").alias("REPORT_DATE"),
         F.col("ts").alias("CREATED_AT"),
