@@ -2,8 +2,8 @@
 
 Key frames are aggregated before any join, and the joins are plain equi semi /
 anti joins on the fact side.  Whether the keys are broadcast is the caller's to
-decide (``session.pin_keys`` does, by counting them); otherwise Spark shuffles,
-splitting skewed partitions of the fact side.
+decide (``session.pin_keys`` does, by counting them, and ``session.key_join`` for longer
+lists); otherwise Spark shuffles, splitting skewed partitions of the fact side.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stayledger.session import key_join
+
 DAY_KEY = ("PROPERTY", "REPORT_DATE")
 NIGHT_KEY = ("PROPERTY", "STAYING")
 
@@ -59,9 +61,15 @@ def changed_since_watermark(source: DataFrame, target: DataFrame, ts: str = "MOD
     )
 
 
-def restrict_to_keys(df: DataFrame, keys: DataFrame, on: tuple[str, ...] = DAY_KEY) -> DataFrame:
-    """Rows whose key is listed; an unknown key part matches nothing."""
-    return df.join(keys.select(*on), list(on), "left_semi")
+def _keyed(df: DataFrame, keys: DataFrame, on: tuple[str, ...], how: str, pinned: bool) -> DataFrame:
+    return key_join(df, keys, on, how) if pinned else df.join(keys.select(*on), list(on), how)
+
+
+def restrict_to_keys(df: DataFrame, keys: DataFrame, on: tuple[str, ...] = DAY_KEY, pinned: bool = False) -> DataFrame:
+    """Rows whose key is listed; an unknown key part matches nothing.
+
+    ``pinned``: the keys are (``session.pin_keys``), so that they can be counted to choose the join."""
+    return _keyed(df, keys, on, "left_semi", pinned)
 
 
 def missing_keys(source: DataFrame, target: DataFrame, on: tuple[str, ...]) -> DataFrame:
@@ -90,16 +98,16 @@ def new_days(rows: DataFrame, history: DataFrame) -> DataFrame:
     return rows.join(distinct_keys(history, NIGHT_KEY), list(NIGHT_KEY), "left_anti")
 
 
-def delete_keys(target: DataFrame, keys: DataFrame, on: tuple[str, ...] = DAY_KEY) -> DataFrame:
+def delete_keys(target: DataFrame, keys: DataFrame, on: tuple[str, ...] = DAY_KEY, pinned: bool = False) -> DataFrame:
     """The target without the rows of the listed keys."""
-    return target.join(keys.select(*on), list(on), "left_anti")
+    return _keyed(target, keys, on, "left_anti", pinned)
 
 
 def replace_keys(
-    target: DataFrame, keys: DataFrame, new: DataFrame, on: tuple[str, ...] = DAY_KEY
+    target: DataFrame, keys: DataFrame, new: DataFrame, on: tuple[str, ...] = DAY_KEY, pinned: bool = False
 ) -> DataFrame:
     """The target with the listed keys' rows replaced by ``new`` (none, when the key became empty)."""
-    return delete_keys(target, keys, on).unionByName(new)
+    return delete_keys(target, keys, on, pinned).unionByName(new)
 
 
 def replace_day(target: DataFrame, prop: str, day: date, new: DataFrame) -> DataFrame:
@@ -114,9 +122,9 @@ def shifted_nights(keys: DataFrame, as_of: date | None = None) -> DataFrame:
     return chosen.select("PROPERTY", F.date_sub("REPORT_DATE", 1).alias("STAYING"))
 
 
-def delete_shifted_keys(history: DataFrame, keys: DataFrame, as_of: date) -> DataFrame:
+def delete_shifted_keys(history: DataFrame, keys: DataFrame, as_of: date, pinned: bool = False) -> DataFrame:
     """History without last night's rows of the properties whose day ``as_of`` changed."""
-    return delete_keys(history, shifted_nights(keys, as_of), NIGHT_KEY)
+    return delete_keys(history, shifted_nights(keys, as_of), NIGHT_KEY, pinned)
 
 
 def delete_up_to(target: DataFrame, prop: str, cutoff: date, column: str) -> DataFrame:

@@ -3,6 +3,8 @@
 The logic is that of ``plans.marts``; here the changed keys are pinned first,
 because the tables they were derived from are about to change, and they come from
 the entries of ``sinks.versions``, so that no run reads days that did not change.
+Detail and history take their rows from tables with the same days, in their order, so these
+rows are written as they come (``placed``).
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ def _within(df: DataFrame, keys: DataFrame, day: str) -> DataFrame:
     days = listed_days(keys.select(day))
     if not days:
         return df.limit(0)
-    return changes.restrict_to_keys(df.filter(F.col(day).isin(days)), keys, ("PROPERTY", day))
+    return changes.restrict_to_keys(df.filter(F.col(day).isin(days)), keys, ("PROPERTY", day), pinned=True)
 
 
 def _as_actual_keys(keys: DataFrame) -> DataFrame:
@@ -49,8 +51,8 @@ def _as_actual_keys(keys: DataFrame) -> DataFrame:
 def refresh_detail_full(ledger: Ledger, as_of: date) -> None:
     """Rebuild detail and history."""
     detail, history = marts.detail_full(ledger.table("stg_smile"), ledger.table("stg_opera"), as_of)
-    ledger.truncate_load(DETAIL, detail)
-    ledger.truncate_load(HISTORY_TABLE, history)
+    ledger.truncate_load(DETAIL, detail, placed=True)
+    ledger.truncate_load(HISTORY_TABLE, history, placed=True)
 
 
 def changed_staging(ledger: Ledger) -> DataFrame:
@@ -74,8 +76,9 @@ def _replace_detail(ledger: Ledger, keys: DataFrame, as_of: date) -> None:
         HISTORY_TABLE,
         changes.shifted_nights(keys, as_of),
         marts.as_history(filters.past_night(fresh, as_of)),
+        placed=True,
     )
-    ledger.replace_keys(DETAIL, keys, filters.otb(fresh))
+    ledger.replace_keys(DETAIL, keys, filters.otb(fresh), placed=True)
 
 
 def refresh_detail_incremental(ledger: Ledger, as_of: date) -> None:
@@ -119,7 +122,7 @@ def restore(ledger: Ledger, start: date, end: date, windows: Windows = LEAD_WIND
     nights = marts.as_history(filters.past_night(canon))
     had = nights_of(ledger, HISTORY_TABLE)
     gaps = pin_keys(changes.missing_keys(nights, had, changes.NIGHT_KEY))
-    ledger.replace_keys(HISTORY_TABLE, gaps, _within(nights, gaps, "STAYING"))
+    ledger.replace_keys(HISTORY_TABLE, gaps, _within(nights, gaps, "STAYING"), placed=True)
 
     # Only the range's nights of history are looked at.
     filled = filters.night_reported_between(nights_of(ledger, HISTORY_TABLE), start, end)

@@ -64,10 +64,10 @@ def detail_incremental(
     """Replace the changed days in detail; last night in history where today's snapshot changed."""
     canon = union_layouts(smile, opera)
     keys = pin_keys(changes.changed_keys(canon, detail))
-    fresh = changes.restrict_to_keys(canon, keys)
+    fresh = changes.restrict_to_keys(canon, keys, pinned=True)
     return DetailHistory(
-        changes.replace_keys(conform(detail, DETAIL), keys, filters.otb(fresh)),
-        changes.delete_shifted_keys(conform(history, HISTORY), keys, as_of).unionByName(
+        changes.replace_keys(conform(detail, DETAIL), keys, filters.otb(fresh), pinned=True),
+        changes.delete_shifted_keys(conform(history, HISTORY), keys, as_of, pinned=True).unionByName(
             as_history(filters.past_night(fresh, as_of))
         ),
     )
@@ -87,7 +87,7 @@ def actual_refresh_rows(history: DataFrame, kept: DataFrame, as_of: date) -> Dat
     last_night = F.col("STAYING") == F.lit(as_of - timedelta(days=1))
     known = kept.select("PROPERTY", F.col("STAYING_DATE").alias("STAYING"))
     known_nights = pin_keys(changes.distinct_keys(known, changes.NIGHT_KEY))
-    missing = changes.delete_keys(history, known_nights, changes.NIGHT_KEY)
+    missing = changes.delete_keys(history, known_nights, changes.NIGHT_KEY, pinned=True)
     complete = F.col("PROPERTY").isNotNull() & F.col("STAYING").isNotNull()
     return missing.filter(complete | F.coalesce(last_night, F.lit(False)))
 
@@ -102,10 +102,10 @@ def report_incremental(
 ) -> ReportActual:
     """Replace the changed days in report; last night and missing nights in actual."""
     keys = pin_keys(changes.changed_keys(detail, report))
-    fresh = pace_report(changes.restrict_to_keys(detail, keys), windows)
+    fresh = pace_report(changes.restrict_to_keys(detail, keys, pinned=True), windows)
     kept = changes.delete_night(conform(actual, ACTUAL), as_of)
     return ReportActual(
-        changes.replace_keys(conform(report, REPORT), keys, fresh),
+        changes.replace_keys(conform(report, REPORT), keys, fresh, pinned=True),
         kept.unionByName(pace_actual(actual_refresh_rows(history, kept, as_of), windows)),
     )
 
@@ -135,14 +135,14 @@ def restore(
     nights = as_history(filters.past_night(canon)).filter(F.col("PROPERTY").isNotNull())
     history = conform(history, HISTORY)
     had = pin_keys(changes.distinct_keys(history, changes.NIGHT_KEY))
-    filled = history.unionByName(changes.delete_keys(nights, had, changes.NIGHT_KEY))
+    filled = history.unionByName(changes.delete_keys(nights, had, changes.NIGHT_KEY, pinned=True))
     in_range = filters.night_reported_between(filled, start, end)
     known = pin_keys(
         changes.distinct_keys(
             actual.select("PROPERTY", F.col("STAYING_DATE").alias("STAYING")), changes.NIGHT_KEY
         )
     )
-    gap_rows = changes.delete_keys(in_range, known, changes.NIGHT_KEY).filter(F.col("PROPERTY").isNotNull())
+    gap_rows = changes.delete_keys(in_range, known, changes.NIGHT_KEY, pinned=True).filter(F.col("PROPERTY").isNotNull())
     return HistoryActual(
         filled, conform(actual, ACTUAL).unionByName(pace_actual(gap_rows, windows, mode))
     )

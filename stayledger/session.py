@@ -71,3 +71,22 @@ def pin_keys(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
     A longer list stays an ordinary join side, which Spark shuffles and splits where skewed."""
     pinned = pin(df)
     return F.broadcast(pinned) if pinned.limit(limit + 1).count() <= limit else pinned
+
+
+# Above this many properties a list of their days is joined by shuffle, too: with five days each, one takes about 160 bytes.
+MAX_BROADCAST_PROPERTIES = 500_000
+
+
+def key_join(df: DataFrame, keys: DataFrame, on: tuple[str, ...], how: str) -> DataFrame:
+    """Semi or anti join with a pinned list of keys, without moving the rows as long as the list can be broadcast.
+
+    A list of days that is too long row by row goes as one row per property with its days."""
+    keys = keys.select(*on)
+    if len(on) != 2 or keys.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS:
+        return df.join(keys, list(on), how)
+    prop, day = on
+    if keys.select(prop).distinct().limit(MAX_BROADCAST_PROPERTIES + 1).count() > MAX_BROADCAST_PROPERTIES:
+        return df.join(keys, list(on), how)
+    days = keys.dropna().groupBy(F.col(prop).alias("_prop")).agg(F.collect_set(day).alias("_days"))
+    match = (df[prop] == F.col("_prop")) & F.array_contains(F.col("_days"), df[day])
+    return df.join(F.broadcast(days), match, how)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stayledger import schemas
-from stayledger.session import pin_keys
+from stayledger.session import key_join, pin_keys
 
 
 @dataclass(frozen=True)
@@ -58,17 +58,23 @@ TABLES: dict[str, TableDef] = {
 _BESIDE = ("day_versions", "stream_batches")
 
 DROP_BATCH = 200
+# A day in more files than this is gathered into few by the next replacement.
+FILES_A_DAY = 64
+# Files that a task keeps open for rows that come in day by day or nearly so; with more days it sorts its rows.
+OPEN_FILES = 32
 
 
 @contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, mode)
+def _write_mode(spark: SparkSession, overwrite: str, open_files: int) -> Iterator[None]:
+    wanted = {"spark.sql.sources.partitionOverwriteMode": overwrite, "spark.sql.maxConcurrentOutputFileWriters": str(open_files)}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 @dataclass(frozen=True)
@@ -100,12 +106,14 @@ class Ledger:
                 f"USING parquet PARTITIONED BY ({spec.day}) {where}"
             )
 
-    def append(self, table: str, rows: DataFrame) -> None:
-        self._insert(table, rows)
+    def append(self, table: str, rows: DataFrame, placed: bool = False) -> None:
+        """``placed``: the rows come from files that hold one day each, as those of these tables, and in their order;
+        they are written as they come, not dealt out and sorted anew, in no more files than they were read from."""
+        self._insert(table, rows, placed=placed)
 
-    def truncate_load(self, table: str, rows: DataFrame) -> None:
+    def truncate_load(self, table: str, rows: DataFrame, placed: bool = False) -> None:
         """Replace the whole table."""
-        self._insert(table, rows, overwrite="static")
+        self._insert(table, rows, overwrite="static", placed=placed)
 
     def files(self, table: str, days: list[date] | None = None) -> dict[date | None, frozenset[str]]:
         """Names of the files of each day (of the given ones), as Spark lists them; no file is opened."""
@@ -126,6 +134,7 @@ class Ledger:
         rows: DataFrame,
         on: tuple[str, ...] | None = None,
         present: DataFrame | None = None,
+        placed: bool = False,
     ) -> None:
         """Replace the rows of ``keys`` by ``rows``; a key without new rows ends up empty.
 
@@ -144,10 +153,11 @@ class Ledger:
         days = listed_days(touched)
         if not days:
             return
-        kept = stored.filter(F.col(spec.day).isin(days)).join(keys, list(on), "left_anti")
+        kept = key_join(stored.filter(F.col(spec.day).isin(days)), keys, on, "left_anti")
         merged = schemas.conform(kept, spec.columns).unionByName(schemas.conform(rows, spec.columns))
         before = self.files(table, days)
-        self._insert(table, merged, overwrite="dynamic")
+        few = all(len(files) <= FILES_A_DAY for files in before.values())
+        self._insert(table, merged, overwrite="dynamic", placed=placed and few)
         after = self.files(table, days)
         self._drop_days(table, sorted(d for d, files in before.items() if after.get(d) == files))
 
@@ -160,20 +170,17 @@ class Ledger:
             specs = ", ".join(f"PARTITION (`{TABLES[table].day}` = '{day.isoformat()}')" for day in some)
             self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {specs}")
 
-    def _insert(self, table: str, rows: DataFrame, overwrite: str | None = None) -> None:
+    def _insert(self, table: str, rows: DataFrame, overwrite: str | None = None, placed: bool = False) -> None:
         spec = TABLES[table]
         ordered = [c for c in spec.columns if c != spec.day] + [spec.day]
         inner = [c for c in spec.key if c != spec.day]
-        # The rebalance lets AQE split a heavy day over tasks and merge light ones.
-        placed = (
-            schemas.conform(rows, spec.columns)
-            .select(*ordered)
-            .hint("rebalance", spec.day)
-            .sortWithinPartitions(spec.day, *inner)
-        )
+        rows = schemas.conform(rows, spec.columns).select(*ordered)
+        if not placed:
+            # The rebalance lets AQE split a heavy day over tasks and merge light ones.
+            rows = rows.hint("rebalance", spec.day).sortWithinPartitions(spec.day, *inner)
         # The mode is read from the session of the frame that is written.
-        with _overwrite_mode(placed.sparkSession, overwrite or "static"):
-            placed.write.insertInto(self.name(table), overwrite=overwrite is not None)
+        with _write_mode(rows.sparkSession, overwrite or "static", OPEN_FILES if placed else 0):
+            rows.write.insertInto(self.name(table), overwrite=overwrite is not None)
 
 
 def listed_days(df: DataFrame) -> list[date]:

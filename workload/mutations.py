@@ -98,7 +98,7 @@ def sink_replace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     detail = filters.otb(canon)
     old = views.detail_old(detail)
     keys = pin_keys(changes.changed_keys(canon, old))
-    return changes.replace_keys(old, keys, changes.restrict_to_keys(detail, keys))
+    return changes.replace_keys(old, keys, changes.restrict_to_keys(detail, keys, pinned=True), pinned=True)
 
 
 @query("sink_replace_keys_stored", _REPLACE_SQL)

@@ -308,9 +308,11 @@ _TABLES = (
 def _staged(spark: SparkSession, sf_dir: str) -> tuple[Ledger, DataFrame]:
     """Fresh tables with staging filled, and its rows in the canonical shape."""
     ledger = stored(spark, *_TABLES)
-    smile, opera = views.staging(spark, sf_dir)
-    ledger.append("stg_smile", smile)
-    ledger.append("stg_opera", opera)
+    base = views.booking_base(spark, sf_dir)
+    for table, layout, shaped in (("stg_smile", "SMILE", views.smile_rows), ("stg_opera", "OPERA", views.opera_rows)):
+        # The base has few days, so a task's rows make few files, however they are dealt.
+        rows = shaped(base.filter(F.col("LAYOUT") == layout)).sortWithinPartitions("REPORT_DATE", "PROPERTY")
+        ledger.append(table, rows, placed=True)
     return ledger, union_layouts(ledger.table("stg_smile"), ledger.table("stg_opera"))
 
 
@@ -318,7 +320,7 @@ def _staged(spark: SparkSession, sf_dir: str) -> tuple[Ledger, DataFrame]:
 def pipe_detail_full_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rebuild on stored tables, over what an earlier one left."""
     ledger, canon = _staged(spark, sf_dir)
-    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)))
+    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)), placed=True)
     stored_runs.refresh_detail_full(ledger, views.AS_OF)
     return _tagged(detail=ledger.table("booking_pace_detail"), history=ledger.table("booking_pace_history"))
 
@@ -336,7 +338,7 @@ def pipe_report_full_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipe_detail_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change list comes from the tables' day versions; only changed days are read and written."""
     ledger, canon = _staged(spark, sf_dir)
-    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)))
+    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)), placed=True)
     ledger.append("booking_pace_history", views.hist(canon))
     stored_runs.refresh_detail_incremental(ledger, TODAY)
     return _tagged(detail=ledger.table("booking_pace_detail"), history=ledger.table("booking_pace_history"))
@@ -368,7 +370,7 @@ _VERSION_COLS = "PROPERTY, {day} AS DAY, CAST(COUNT(*) AS BIGINT) AS NB_ROWS, MA
 def agg_day_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the day versions say of detail and history: made before a run, brought up to date after it."""
     ledger, canon = _staged(spark, sf_dir)
-    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)))
+    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)), placed=True)
     ledger.append("booking_pace_history", views.hist(canon))
     stored_runs.refresh_detail_incremental(ledger, TODAY)
     told = (
@@ -429,7 +431,7 @@ def pipe_history_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFra
 def pipe_run_incremental_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same run on stored tables, where only changed days are written."""
     ledger, canon = _staged(spark, sf_dir)
-    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)))
+    ledger.append("booking_pace_detail", views.detail_old(filters.otb(canon)), placed=True)
     ledger.append("booking_pace_history", views.hist(canon))
     ledger.append("booking_pace_report", pace_report(ledger.table("booking_pace_detail")))
     ledger.append("booking_pace_actual", views.actual_old(ledger.table("booking_pace_history")))
