@@ -98,3 +98,14 @@ def test_a_day_in_many_files_is_gathered(spark, ledger, monkeypatch):
     assert len(ledger.files(runs.DETAIL)[day(1)]) == 1
     assert rows(ledger.table(runs.DETAIL)) == before
     assert set(expected) <= set(rows(ledger.table(runs.DETAIL), "PROPERTY", "REPORT_DATE", "STAYING"))
+
+
+def test_replaced_keys_join_the_base_once(spark, written):
+    from conftest import SF_DIR
+    from workload.mutations import sink_replace_keys_stored
+
+    sink_replace_keys_stored(spark, SF_DIR)
+    moved = [made for table, made in written if table == runs.DETAIL]
+    assert len(moved) == 2
+    for made in moved:
+        assert "Exchange hashpartitioning" not in made and "lineitem" not in made

@@ -105,11 +105,11 @@ def sink_replace_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sink_replace_keys_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same on a stored table: only the changed days are written."""
     ledger = stored(spark, _DETAIL)
-    canon = views.canon(spark, sf_dir)
+    canon = views.canon_by_day(spark, sf_dir)
     detail = filters.otb(canon)
-    ledger.append(_DETAIL, views.detail_old(detail))
-    keys = changes.changed_keys(canon, ledger.table(_DETAIL))
-    ledger.replace_keys(_DETAIL, keys, changes.restrict_to_keys(detail, keys))
+    ledger.append(_DETAIL, views.detail_old(detail), placed=True)
+    keys = pin_keys(changes.changed_keys(canon, ledger.table(_DETAIL)))
+    ledger.replace_keys(_DETAIL, keys, changes.restrict_to_keys(detail, keys, pinned=True), placed=True)
     return ledger.table(_DETAIL)
 
 

@@ -174,6 +174,14 @@ def canon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.canonical_smile(smile_rows(booking_base(spark, sf_dir)))
 
 
+def canon_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, joined once and kept in the shared folder by report day, in the order of the tables."""
+    folder = scratch_path(spark, "canon")
+    rows = canon(spark, sf_dir)
+    rows.sortWithinPartitions("REPORT_DATE", "PROPERTY").write.partitionBy("REPORT_DATE").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filters.otb(canon(spark, sf_dir))
 
