@@ -96,7 +96,8 @@ def _lists(fps: DataFrame) -> DataFrame:
     """(posting, part, fp) of the posting lists with two members at least; long lists by pairs of blocks."""
     index = postings(fps)
     sizes = index.groupBy(F.col("posting").alias("p")).agg(F.count("*").alias("n")).where("n > 1")
-    joined = index.join(sizes, F.col("posting") == F.col("p"))
+    # Spark sizes an explode by its input, so it would take these millions of keys for a small table and broadcast them.
+    joined = index.join(sizes.hint("merge"), F.col("posting") == F.col("p"))
     blocks = F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("fp", F.lit("block")), blocks).cast("int")
     # Block pair (a, b), a <= b: a member of block x is in (x, y) and (y, x) for every y.
