@@ -5,8 +5,10 @@ from __future__ import annotations
 from stayledger.llm import simhash
 
 
-def test_sizes_of_lists_are_not_broadcast(spark):
-    fps = spark.createDataFrame([(n << 20,) for n in range(64)], "fp bigint")
+def test_sizes_of_lists_are_not_broadcast(spark, tmp_path):
+    # Stored, as they are in a run: Spark knows the size of the file.
+    spark.createDataFrame([(n << 20,) for n in range(64)], "fp bigint").write.parquet(str(tmp_path / "fps"))
+    fps = spark.read.parquet(str(tmp_path / "fps"))
     plan = simhash._lists(fps)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
     assert "BroadcastHashJoin" not in plan
